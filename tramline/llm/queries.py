@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tramline.llm import linededup, mixing, packing, simhash
+from tramline.llm import embeddings, licenses, linededup, mixing, packing, simhash, toxicity, urls, warc
 from tramline.llm.shared import table
 
 
@@ -15,6 +15,15 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = warc.derive(warc.responses_of_pages(table(spark, sf_dir, "pages")), keep=("page_id",))
+    return out.drop("block", "source_headers")
+
+
+def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -31,4 +40,17 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
-QUERIES = {f.__name__: f for f in (op3_mixing, op4_simhash, op6_linededup, op7_packing)}
+def op8_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages")).drop("component")
+
+
+QUERIES = {f.__name__: f for f in (op1_warc, op2_licenses, op3_mixing, op4_simhash, op6_linededup, op7_packing, op8_embeddings, op9_toxicity, op10_urls)}
+ORACLES = {"op1_warc": warc.oracle(), "op2_licenses": licenses.oracle(), "op10_urls": urls.oracle()}
