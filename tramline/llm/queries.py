@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tramline.llm import embeddings, licenses, linededup, mixing, packing, simhash, toxicity, urls, warc
+from tramline.llm import embeddings, licenses, linededup, mixing, packing, simhash, toxicity, urls, warc, webp
 from tramline.llm.shared import table
 
 
@@ -32,6 +32,10 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_webp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return webp.columns(table(spark, sf_dir, "documents")).drop("media")
+
+
 def op6_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.summary(table(spark, sf_dir, "documents"))
 
@@ -52,5 +56,5 @@ def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages")).drop("component")
 
 
-QUERIES = {f.__name__: f for f in (op1_warc, op2_licenses, op3_mixing, op4_simhash, op6_linededup, op7_packing, op8_embeddings, op9_toxicity, op10_urls)}
+QUERIES = {f.__name__: f for f in (op1_warc, op2_licenses, op3_mixing, op4_simhash, op5_webp, op6_linededup, op7_packing, op8_embeddings, op9_toxicity, op10_urls)}
 ORACLES = {"op1_warc": warc.oracle(), "op2_licenses": licenses.oracle(), "op10_urls": urls.oracle()}
