@@ -27,45 +27,65 @@ GROUPS = 48
 LARGE = 1 / 8
 
 
-#: What the tokenizer splits ASCII text without apostrophes into.
-RUNS = re.compile(rb"[a-z]+|[0-9]|[^a-z0-9]+")
+#: Lower-case text of ASCII and Latin-1 letters, in UTF-8, which normalizes to itself; other words are encoded whole.
+SAFE = re.compile(rb"[\x00-\x7f]*+(?:\xc3[\x80-\x96\x98-\xb6\xb8-\xbf][\x00-\x7f]*+)*+")
+#: What the tokenizer splits such text into: letters (bytes past ASCII are parts of such), single digits, fixed
+#: contractions, other marks.
+RUNS = re.compile(rb"[a-z\x80-\xc3]+|[0-9]|'s|'t|'re|'ve|'m|'ll|'d|[^ \t-\ra-z0-9\x80-\xc3]+")
 
 
 class Words:
-    """Ids of a text as bytes (little-endian, 32 bits each). The tokenizer treats what lies between ASCII white
-    space on its own, so each distinct word is encoded once, and of plain words each run of letters; the store is
-    emptied when it holds `most` words."""
+    """Ids of a text as bytes (little-endian, 32 bits each). The tokenizer encodes each run of letters, digit and
+    run of marks on its own, so each distinct one is encoded once; the store is emptied when it holds `most`."""
 
     def __init__(self, path: str, most: int = 1_000_000):
         from tokenizers import Tokenizer
 
-        self.tok, self.most, self.known, self.runs = Tokenizer.from_file(path), most, {}, {}
+        self.tok, self.most, self.known = Tokenizer.from_file(path), most, {}
+        vocab = self.tok.get_vocab()
+        self.last = np.zeros(max(vocab.values()) + 1, bool)
+        self.last[[i for w, i in vocab.items() if w.endswith("</w>")]] = True
 
     def raw(self, some: list[bytes]) -> list[bytes]:
-        out = []
-        for lo in range(0, len(some), 20_000):
-            part = [w.decode() for w in some[lo : lo + 20_000]]
-            out += [np.array(e.ids, "<u4").tobytes() for e in self.tok.encode_batch_fast(part, add_special_tokens=False)]
-        return out
-
-    def learn(self, words: set[bytes]) -> None:
-        if len(self.runs) > self.most:
-            self.runs.clear()
-        plain = {w: RUNS.findall(w.lower()) for w in words if w.isascii() and b"'" not in w and b"<|" not in w}
-        runs = list({r for rs in plain.values() for r in rs} - self.runs.keys())
-        self.runs.update(zip(runs, self.raw(runs), strict=True))
-        of = self.runs.__getitem__
-        self.known.update((w, b"".join(map(of, rs))) for w, rs in plain.items())
-        other = [w for w in words if w not in plain]
-        self.known.update(zip(other, self.raw(other), strict=True))
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tok.encode_batch_fast([w.decode() for w in some], add_special_tokens=False)]
+
+    def flat(self, runs: list[bytes]) -> list[bytes]:
+        """Ids of many runs from one text: each ends with a token that ends a word."""
+        ids = np.array(self.tok.encode_batch_fast([b" ".join(runs).decode()], add_special_tokens=False)[0].ids, "<u4")
+        ends = ((np.flatnonzero(self.last[ids]) + 1) * 4).tolist()
+        if len(ends) != len(runs):
+            return self.raw(runs)
+        flat = ids.tobytes()
+        return [flat[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+
+    def parts(self, text: str | None, odd: set[bytes]) -> list[bytes]:
+        """Runs of a text; words that aren't safe stay whole and go to `odd` too."""
+        low = (text or "").lower().encode() if (text or "").isascii() else text.encode()
+        if not SAFE.fullmatch(low) or b"<|" in low:
+            out = []
+            for w in text.encode().split():
+                if SAFE.fullmatch(w) and b"<|" not in w:
+                    out += RUNS.findall(w.decode().lower().encode())
+                else:
+                    odd.add(w)
+                    out.append(w)
+            return out
+        return RUNS.findall(low if text is None or text.isascii() else text.lower().encode())
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        split = [(x or "").encode().split() for x in texts]
-        if len(self.known) > self.most:
-            self.known.clear()
-        if new := set().union(*split) - self.known.keys():
-            self.learn(new)
-        of = self.known.__getitem__
+        odd: set[bytes] = set()
+        split = [self.parts(x, odd) for x in texts]
+        known = self.known
+        if len(known) > self.most:
+            known.clear()
+        new = set().union(*split).difference(known) - odd
+        odd = [w for w in odd if w not in known]
+        known.update(zip(odd, self.raw(odd), strict=True))
+        new = list(new)
+        for lo in range(0, len(new), 20_000):
+            some = new[lo : lo + 20_000]
+            known.update(zip(some, self.flat(some), strict=True))
+        of = known.__getitem__
         return [b"".join(map(of, words)) for words in split]
 
 
