@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tramline.llm.shared import ascii_lower
+from tramline.llm.shared import ascii_lower, saved
 
-WORD = r"([^\x00-\x2F\x3A-\x60\x7B-\x7F]+)"
+#: Words of a lower-cased text: digits, a-z and everything past ASCII.
+WORD = r"([0-9a-z\x{80}-\x{10FFFF}]+)"
+BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+MARKS = "".join(map(chr, [*range(0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)]))
+#: Longer than any array.
+MANY = (1 << 31) - 1
 #: Phrases whose every exact place counts.
 BASE = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 #: Statements and parts of well-known notices, as lower-case words.
@@ -47,30 +52,32 @@ def templates(spark, base=None, notices=NOTICES) -> DataFrame:
     rows = template_rows(base, notices)
     if len(rows) > 20_000:
         raise ValueError("more than 20,000 template grams")
-    lits = F.array(*[F.struct(F.lit(t).alias("template"), F.lit(label).alias("label"), F.lit(b).alias("is_base"), F.lit(n).alias("n"), F.lit(k).alias("k"), F.lit(i).alias("at"), F.lit(g).alias("t_gram")) for t, label, b, n, k, i, g in rows])
-    return spark.range(1).select(F.inline(lits)).withColumn("t_hash", F.xxhash64("k", "t_gram"))
+    text = lambda w: "CAST(NULL AS STRING)" if w is None else "'" + w.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    cells = [(t, text(label), b, n, k, i, *[text(w) for w, _ in zip([*g.split(), None], "abc", strict=False)]) for t, label, b, n, k, i, g in rows]
+    values = ", ".join("(" + ", ".join(map(str, c)) + ")" for c in cells)
+    return spark.sql(f"SELECT *, xxhash64(t_a, t_b) AS t_hash FROM VALUES {values} AS v(template, label, is_base, n, k, at, t_a, t_b, t_c)")
 
 
-def _grams(k: int):
-    """All rolling word k-grams of `words`, in order."""
-    last = F.size("words") - k
-    join = lambda i: F.concat_ws(" ", *[F.get("words", i + j) for j in range(k)])
-    return F.when(last >= 0, F.transform(F.sequence(F.lit(0), last), join)).otherwise(F.array().cast("array<string>"))
+def words_of(text: Column) -> Column:
+    """The words of a lower-cased text in order, empty for none."""
+    inner = F.btrim(text, F.lit(MARKS))
+    return F.when(inner != "", F.split(inner, BETWEEN)).otherwise(F.array().cast("array<string>"))
 
 
 def votes(docs: DataFrame, base=None, notices=NOTICES) -> DataFrame:
-    """doc_id, row, template, label, is_base, n, k, pos, at: each place where a document's gram is a template's. The
-    hashes meet in a join whose small side is the templates; the grams themselves then have to agree."""
+    """doc_id, row, template, label, is_base, n, k, pos, at: each place where a document's gram is a template's.
+
+    All rolling pairs of words are hashed and meet the templates' positions in a join whose small side is the
+    templates; the words themselves then have to agree, and a notice's grams have a third one. The words stay in
+    their array until they are dealt out as triples, so a long text is never repeated for each of its words."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    words = docs.select("doc_id", F.xxhash64(text).alias("row"), F.regexp_extract_all(ascii_lower(text), F.lit(WORD)).alias("words"))
-    two = F.size("words") - (K_BASE - 1)
-    grams = words.select("doc_id", "row", F.greatest(two, F.lit(0)).alias("two"), F.posexplode(F.concat(_grams(K_BASE), _grams(K))).alias("i", "gram"))
-    small = F.col("i") < F.col("two")
-    grams = grams.select("doc_id", "row", F.when(small, F.lit(K_BASE)).otherwise(K).alias("g_k"), F.when(small, F.col("i")).otherwise(F.col("i") - F.col("two")).cast("long").alias("pos"), "gram")
-    keyed = grams.withColumn("hash", F.xxhash64("g_k", "gram"))
+    words = docs.select("doc_id", F.xxhash64(text).alias("row"), words_of(ascii_lower(text)).alias("words"))
+    rest = lambda i: F.slice("words", i, MANY)
+    triples = F.arrays_zip(F.col("words").alias("a"), rest(2).alias("b"), rest(3).alias("c"))
+    grams = words.select("doc_id", "row", F.posexplode_outer(triples).alias("pos", "x")).select("doc_id", "row", F.col("pos").cast("long").alias("pos"), "x.a", "x.b", "x.c")
     t = templates(docs.sparkSession, base, notices)
-    both = keyed.join(F.broadcast(t), (F.col("hash") == F.col("t_hash")) & (F.col("g_k") == F.col("k")) & (F.col("gram") == F.col("t_gram")))
-    return both.select("doc_id", "row", "template", "label", "is_base", "n", "k", "pos", "at")
+    same = (F.xxhash64("a", "b") == F.col("t_hash")) & (F.col("a") == F.col("t_a")) & (F.col("b") == F.col("t_b")) & (F.col("t_c").isNull() | (F.col("c") == F.col("t_c")))
+    return grams.join(F.broadcast(t), same).select("doc_id", "row", "template", "label", "is_base", "n", "k", "pos", "at")
 
 
 def spans(docs: DataFrame, base=None, notices=NOTICES) -> DataFrame:
@@ -81,7 +88,7 @@ def spans(docs: DataFrame, base=None, notices=NOTICES) -> DataFrame:
     follow within DRIFT are merged."""
     key = ["doc_id", "row", "template", "label", "is_base", "n", "k"]
     diagonal = F.col("pos") - F.col("at")
-    lines = votes(docs, base, notices).groupBy(*key, diagonal.alias("diagonal")).agg(F.collect_set("at").alias("hits"), F.min("pos").alias("first"), F.max("pos").alias("last"))
+    lines = saved(votes(docs, base, notices).groupBy(*key, diagonal.alias("diagonal")).agg(F.collect_set("at").alias("hits"), F.min("pos").alias("first"), F.max("pos").alias("last")))
     exact = lines.where("is_base AND size(hits) = n - k + 1").select("doc_id", "row", "label", "is_base", F.col("diagonal").alias("place"), F.lit(1.0).alias("cover"))
     order = Window.partitionBy("doc_id", "row", "template").orderBy("first", "diagonal")
     rest = lines.where("NOT is_base").withColumn("apart", F.col("first") - F.max("last").over(order.rowsBetween(Window.unboundedPreceding, -1)))
