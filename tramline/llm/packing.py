@@ -93,7 +93,7 @@ _words: dict[str, Words] = {}
 
 
 def words_of(path: str) -> Words:
-    """The tokenizer of this process, which keeps what it knows from task to task."""
+    """The tokenizer of this process, loaded once."""
     if path not in _words:
         _words[path] = Words(path)
     return _words[path]
@@ -108,20 +108,23 @@ def tokens(docs: DataFrame, path: str, end: int = 0, capacity: int = CAPACITY, i
 
     def run(batches):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tramline.llm.packing import words_of  # by name, so that tasks share it
+        from tramline.llm.packing import words_of  # by name, so that tasks share the tokenizer
 
         words, last = words_of(path), np.array([end], "<u4").tobytes()
-        for b in batches:
-            types = [b.schema.field(0).type, pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), *[pa.binary()] * ids]
-            for lo in range(0, b.num_rows, 256):
-                part = b.slice(lo, 256)
-                rows = []
-                for doc, row, all_ids in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), words.encode(part.column(2).to_pylist()), strict=True):
-                    all_ids += last
-                    for k, at in enumerate(range(0, len(all_ids), 4 * capacity)):
-                        piece = all_ids[at : at + 4 * capacity]
-                        rows.append((doc, row, k, at // 4, len(piece) // 4, zlib.crc32(piece), *[piece] * ids))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=schema.names)
+        try:
+            for b in batches:
+                types = [b.schema.field(0).type, pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), *[pa.binary()] * ids]
+                for lo in range(0, b.num_rows, 256):
+                    part = b.slice(lo, 256)
+                    rows = []
+                    for doc, row, all_ids in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), words.encode(part.column(2).to_pylist()), strict=True):
+                        all_ids += last
+                        for k, at in enumerate(range(0, len(all_ids), 4 * capacity)):
+                            piece = all_ids[at : at + 4 * capacity]
+                            rows.append((doc, row, k, at // 4, len(piece) // 4, zlib.crc32(piece), *[piece] * ids))
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=schema.names)
+        finally:
+            words.known = {}  # the process lives on for other work
 
     return docs.select("doc_id", F.xxhash64("text").alias("row"), "text").mapInArrow(run, schema)
 

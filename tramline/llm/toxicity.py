@@ -56,7 +56,7 @@ def _counted(batches):
             kept.append(found)
             flags.append(toxic)
             size += len(found)
-            if size > 2_000_000:
+            if size > 500_000:
                 yield flush(kept, flags)
                 kept, flags, size = [], [], 0
     if kept:
