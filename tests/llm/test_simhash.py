@@ -101,3 +101,61 @@ def test_long_text_fingerprint():
     text = " ".join(str(i % 977) for i in range(70_000))
     assert simhash.fingerprint(text) & ((1 << 64) - 1) == plain(text)
     assert np.int64(simhash.fingerprint("A  b\tC d")) == np.int64(simhash.fingerprint("a b c d"))
+
+
+def sets_of(text, k=5):
+    words = (text or "").encode().lower().split()
+    return frozenset(b" ".join(words[i : i + k]) for i in range(max(1, len(words) - k + 1))) if words else frozenset()
+
+
+def alike(a, b):
+    return a == b or bool(a and b and len(a & b) >= 0.8 * len(a | b))
+
+
+def brute_similar(rows):
+    """component_id by all pairs of distinct sets"""
+    rows = [(d, sets_of(t)) for d, t in rows if d is not None]
+    up = {s: s for _, s in rows}
+
+    def root(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for a, b in itertools.combinations(list(up), 2):
+        if alike(a, b):
+            up[root(a)] = root(b)
+    least = {}
+    for d, s in rows:
+        least[root(s)] = min(d, least.get(root(s), d))
+    return Counter((d, least[root(s)]) for d, s in rows)
+
+
+def near_copies(n=240):
+    """Bases with copies in which some words are changed, from close ones to those past the threshold."""
+    rng, out = random.Random(9), []
+    for base in range(n // 12):
+        words = [f"w{rng.randrange(3000)}" for _ in range(rng.choice([6, 40, 200]))]
+        for copy in range(12):
+            changed = list(words)
+            for _ in range(copy % 5):
+                changed[rng.randrange(len(words))] = f"x{rng.randrange(3000)}"
+            out.append((base * 12 + copy, " ".join(changed)))
+    return out
+
+
+@pytest.mark.parametrize("limit", [2048, 5])
+@pytest.mark.parametrize("name", ["documents", "odd", "empty", "copies"])
+def test_similar_groups_equal_brute_force(spark, name, limit, request):
+    docs = spark.createDataFrame(near_copies(), "doc_id long, text string") if name == "copies" else request.getfixturevalue(name)
+    got = Counter(rows_of(simhash.similar_groups(docs, rows=limit)))
+    assert got == brute_similar(rows_of(docs.select("doc_id", "text")))
+
+
+def test_one_of_similar_keeps_the_columns(odd):
+    got = simhash.one_of_similar(odd)
+    assert got.columns == odd.columns
+    want = {c for _, c in brute_similar(rows_of(odd.select("doc_id", "text")))}
+    kept = [r.doc_id for r in got.collect()]
+    assert sorted(d for d in kept if d is not None) == sorted(want)
+    assert kept.count(None) == odd.where("doc_id IS NULL").count()

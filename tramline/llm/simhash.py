@@ -10,6 +10,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tramline.llm.shared import Forest, components, saved
 
@@ -18,18 +19,23 @@ BITS = 64
 BLOCK = 2048
 
 
-def fingerprint(text: str | None, shingle: int = 3) -> int:
-    """The 64-bit SimHash, signed as Spark's long: a bit is 1 if set in over half the shingles' XXH64 hashes.
-    Words lie between the six ASCII white-space characters, A-Z lower-cased; a shingle is `shingle` words joined by
-    a space, repeats included, or all words if there are fewer. Null and wordless texts: 0."""
+def shingle_hashes(text: str | None, shingle: int) -> np.ndarray:
+    """XXH64 of each shingle, repeats included. Words lie between the six ASCII white-space characters, A-Z
+    lower-cased; a shingle is `shingle` words joined by a space, or all words if there are fewer; none: no hash."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     flat, size = b" ".join(words), np.cumsum([len(w) + 1 for w in words])
     ends, starts = (size - 1).tolist(), [0, *size[:-1].tolist()]
     k = min(shingle, len(words))
     hashed = xxhash.xxh64_intdigest
-    h = np.fromiter((hashed(flat[a:b], 42) for a, b in zip(starts, ends[k - 1 :], strict=False)), np.uint64, len(words) - k + 1)
+    return np.fromiter((hashed(flat[a:b], 42) for a, b in zip(starts, ends[k - 1 :], strict=False)), np.uint64, len(words) - k + 1)
+
+
+def majority(h: np.ndarray) -> int:
+    """The 64 bits that over half the hashes set, signed as Spark's long; 0 for none."""
+    if not h.size:
+        return 0
     if h.size < 1 << 16:
         ones = np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
     else:
@@ -37,6 +43,11 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
     return int(np.packbits(ones * 2 > h.size, bitorder="little").view(np.int64)[0])
 
 
+def fingerprint(text: str | None, shingle: int = 3) -> int:
+    """The 64-bit SimHash of the shingles. Null and wordless texts: 0."""
+    return majority(shingle_hashes(text, shingle))
+
+
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
     """doc_id, fp for each document."""
 
@@ -175,3 +186,138 @@ def one_of_each(docs: DataFrame, radius: int = 2, shingle: int = 3) -> DataFrame
     kept = near_duplicates(docs, radius, shingle).where("doc_id = component_id").select(F.col("doc_id").alias("__doc")).distinct()
     named = docs.join(kept, F.col("doc_id") == F.col("__doc"), "left_semi").dropDuplicates(["doc_id"])
     return named.unionByName(docs.where("doc_id IS NULL"))
+
+
+#: Bits in which fingerprints of texts of similarity 0.8 may differ: 10 are expected, over 20 about once in 5,000.
+FAR = 20
+#: Odd factors that turn a shingle's hash into the independent orders whose least members name a text's tiles.
+ORDERS = np.array([(0x9E3779B97F4A7C15 * (2 * k + 1) ^ (0xBF58476D1CE4E5B9 << k)) % (1 << 64) | 1 for k in range(4)], np.uint64)
+
+
+def _sketch(shingle: int, whole: bool):
+    """(doc_id, set_id, fp, n, keys) of each text, or with `whole` (doc_id, set_id, fp, hashes), the distinct
+    shingles as 32-bit hashes. Equal set_id: the same set of shingles. Wordless texts have set_id 0 and no keys."""
+
+    def run(batches):
+        for b in batches:
+            out = []
+            for text in b.column(1).to_pylist():
+                h = shingle_hashes(text, shingle)
+                u = np.unique(h)
+                name = xxhash.xxh64_intdigest(u.tobytes(), 1) if u.size else 0
+                mixed = u ^ (u >> np.uint64(29))
+                extra = np.unique(u.astype(np.uint32)).view(np.int32) if whole else (mixed[:, None] * ORDERS).min(0).view(np.int64) if u.size else np.zeros(0, np.int64)
+                out.append((name - (name >> 63 << 64), majority(h), u.size, extra))
+            ids, fps, sizes, extras = zip(*out, strict=True) if out else ((), (), (), ())
+            cols = [b.column(0), pa.array(ids, pa.int64()), pa.array(fps, pa.int64())]
+            if whole:
+                yield pa.RecordBatch.from_arrays([*cols, pa.array(extras, pa.list_(pa.int32()))], names=["doc_id", "set_id", "fp", "hashes"])
+            else:
+                yield pa.RecordBatch.from_arrays([*cols, pa.array(sizes, pa.int64()), pa.array(extras, pa.list_(pa.int64()))], names=["doc_id", "set_id", "fp", "n", "keys"])
+
+    return run
+
+
+def sketches(docs: DataFrame, shingle: int, whole: bool = False) -> DataFrame:
+    schema = docs.select("doc_id").schema.add("set_id", "long").add("fp", "long")
+    schema = schema.add("hashes", T.ArrayType(T.IntegerType())) if whole else schema.add("n", "long").add("keys", T.ArrayType(T.LongType()))
+    return docs.select("doc_id", "text").mapInArrow(_sketch(shingle, whole), schema)
+
+
+def verify(names, fps, sides, sets, similarity: float, forest) -> None:
+    """Joins in the forest the texts of one tile whose sets are as similar: pairs of both sides, or all pairs if the
+    tile has one. Fingerprints are sorted by population count, so that blocks too far apart are skipped whole; pairs
+    within FAR bits whose sizes allow it, and that aren't joined yet, are decided by their sets."""
+    held: dict[int, set] = {}
+
+    def members(i):
+        if i not in held:
+            held[i] = set(sets[i])
+        return held[i]
+
+    size = np.fromiter(map(len, sets), np.int64, len(sets))
+    count = np.bitwise_count(fps.view(np.uint64)).astype(np.int64)
+    order, both, block = np.argsort(count, kind="stable"), len(np.unique(sides)) > 1, 512
+    for i in range(0, len(order), block):
+        a = order[i : i + block]
+        for j in range(i, len(order), block):
+            b = order[j : j + block]
+            if count[b[0]] - count[a[-1]] > FAR:
+                break
+            near = np.bitwise_count(fps[a].view(np.uint64)[:, None] ^ fps[b].view(np.uint64)[None, :]) <= FAR
+            least, most = np.minimum(size[a][:, None], size[b]), np.maximum(size[a][:, None], size[b])
+            near &= least >= similarity * most
+            if both:
+                near &= sides[a][:, None] != sides[b]
+            if i == j:
+                near = np.triu(near, 1)
+            x, y = np.nonzero(near)
+            for u, v in zip(a[x].tolist(), b[y].tolist(), strict=True):
+                if forest.root(names[u]) != forest.root(names[v]):
+                    shared = len(members(u) & members(v))
+                    if shared >= similarity * (len(held[u]) + len(held[v]) - shared):
+                        forest.join(names[u], names[v])
+
+
+def _verified(similarity: float):
+    """Reads a partition sorted by tile; keeps one tile and a forest."""
+
+    def run(batches):
+        forest, tile, rows = Forest(), None, []
+
+        def close():
+            if len(rows) > 1:
+                names, fps, sides, sets = zip(*rows, strict=True)
+                verify(names, np.array(fps, np.int64), np.array(sides, np.int64), sets, similarity, forest)
+            rows.clear()
+
+        for batch in batches:
+            keys = list(zip(*[batch.column(i).to_pylist() for i in range(3)], strict=True))
+            names, fps, sides = (batch.column(i).to_pylist() for i in (3, 4, 5))
+            for i, key in enumerate(keys):
+                if key != tile:
+                    close()
+                    tile = key
+                rows.append((names[i], fps[i], sides[i], batch.column(6)[i].as_py()))
+        close()
+        yield forest.edges()
+
+    return run
+
+
+def similar_groups(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, rows: int = 2048, hashes: int = 1 << 20) -> DataFrame:
+    """doc_id, component_id for each document with an id: groups joined by pairs whose sets of shingles have a Jaccard
+    similarity of at least `similarity`.
+
+    Fingerprints of such pairs differ in far more than two bits, so tiles by population count alone would compare all
+    with all. Here a text enters one tile for each of four orders of its shingles, named by the least shingle: a pair
+    at 0.8 shares none with probability 0.2 ** 4. Within a tile population counts, XOR and sizes pick the pairs, and
+    the sets decide. Equal sets are one member. A tile of more than `rows` members or `hashes` shingles is split into
+    blocks that meet in pairs, so no task holds a whole hot tile and none is cut short."""
+    named = docs.where("doc_id IS NOT NULL")
+    all_ = saved(sketches(named, shingle))
+    one = all_.groupBy("set_id").agg(F.min_by(F.struct("n", "keys"), "doc_id").alias("x"), F.min("doc_id").alias("least")).select("set_id", "least", "x.n", "x.keys")
+    one = saved(one)
+    dealt = one.select("set_id", "least", "n", F.explode(F.array_distinct("keys")).alias("key"))
+    shared = dealt.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("w")).where("c > 1")
+    shared = shared.select("key", F.greatest(F.ceil(F.col("c") / rows), F.ceil(F.col("w") / hashes)).cast("int").alias("blocks"))
+    mine = dealt.join(shared, "key").withColumn("b", F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int"))
+    mine = mine.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    tiles = saved(mine.select("key", F.least("b", "j").alias("a"), F.greatest("b", "j").alias("z"), "set_id", (F.col("b") < F.col("j")).cast("int").alias("side"), "least"))
+    needed = tiles.select(F.col("least").alias("__doc")).distinct()
+    sets = sketches(named.join(needed, F.col("doc_id") == F.col("__doc"), "left_semi"), shingle, whole=True).dropDuplicates(["set_id"]).drop("doc_id")
+    full = tiles.join(sets, "set_id").select("key", "a", "z", "set_id", "fp", "side", "hashes")
+    edges = full.repartition("key", "a", "z").sortWithinPartitions("key", "a", "z").mapInArrow(_verified(similarity), "u long, v long")
+    group = components(edges)
+    per = saved(one.join(group, F.col("set_id") == F.col("node"), "left").select("set_id", "least", F.coalesce("component", "set_id").alias("component")))
+    least = per.groupBy("component").agg(F.min("least").alias("component_id"))
+    per = per.join(least, "component").select(F.col("set_id").alias("__set"), "component_id")
+    return all_.join(per, F.col("set_id") == F.col("__set")).select("doc_id", "component_id")
+
+
+def one_of_similar(docs: DataFrame, similarity: float = 0.8, shingle: int = 5) -> DataFrame:
+    """The documents whose id is the smallest of their group of similar texts, columns as given; rows that repeat an
+    id stay once. Documents without an id can't be named and stay."""
+    kept = similar_groups(docs, similarity, shingle).where("doc_id = component_id").select(F.col("doc_id").alias("__doc")).distinct()
+    named = docs.join(kept, F.col("doc_id") == F.col("__doc"), "left_semi").dropDuplicates(["doc_id"])
+    return named.unionByName(docs.where("doc_id IS NULL"))
