@@ -228,11 +228,16 @@ def verify(names, fps, sides, sets, similarity: float, forest) -> None:
     """Joins in the forest the texts of one tile whose sets are as similar: pairs of both sides, or all pairs if the
     tile has one. Fingerprints are sorted by population count, so that blocks too far apart are skipped whole; pairs
     within FAR bits whose sizes allow it, and that aren't joined yet, are decided by their sets."""
-    held: dict[int, set] = {}
+    held, kept = {}, 0
 
     def members(i):
+        nonlocal kept
         if i not in held:
-            held[i] = set(sets[i])
+            if kept > 1 << 18:
+                held.clear()
+                kept = 0
+            held[i] = set(sets[i].tolist())
+            kept += len(held[i])
         return held[i]
 
     size = np.fromiter(map(len, sets), np.int64, len(sets))
@@ -255,7 +260,7 @@ def verify(names, fps, sides, sets, similarity: float, forest) -> None:
             for u, v in zip(a[x].tolist(), b[y].tolist(), strict=True):
                 if forest.root(names[u]) != forest.root(names[v]):
                     shared = len(members(u) & members(v))
-                    if shared >= similarity * (len(held[u]) + len(held[v]) - shared):
+                    if shared >= similarity * (size[u] + size[v] - shared):
                         forest.join(names[u], names[v])
 
 
@@ -278,7 +283,7 @@ def _verified(similarity: float):
                 if key != tile:
                     close()
                     tile = key
-                rows.append((names[i], fps[i], sides[i], batch.column(6)[i].as_py()))
+                rows.append((names[i], fps[i], sides[i], batch.column(6)[i].values.to_numpy()))
         close()
         yield forest.edges()
 
@@ -291,14 +296,18 @@ def similar_groups(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, r
 
     Fingerprints of such pairs differ in far more than two bits, so tiles by population count alone would compare all
     with all. Here a text enters one tile for each of four orders of its shingles, named by the least shingle: a pair
-    at 0.8 shares none with probability 0.2 ** 4. Within a tile population counts, XOR and sizes pick the pairs, and
+    at 0.8 shares none with probability 0.2 ** 4. Tiles are split by the octave of a set's size; a set whose partners
+    may lie in the next octave enters that too, so `similarity` has to be over a half. Within a tile population counts, XOR and sizes pick the pairs, and
     the sets decide. Equal sets are one member. A tile of more than `rows` members or `hashes` shingles is split into
     blocks that meet in pairs, so no task holds a whole hot tile and none is cut short."""
     named = docs.where("doc_id IS NOT NULL")
     all_ = saved(sketches(named, shingle))
     one = all_.groupBy("set_id").agg(F.min_by(F.struct("n", "keys"), "doc_id").alias("x"), F.min("doc_id").alias("least")).select("set_id", "least", "x.n", "x.keys")
     one = saved(one)
-    dealt = one.select("set_id", "least", "n", F.explode(F.array_distinct("keys")).alias("key"))
+    octave = lambda n: F.floor(F.log2(n)).cast("int")
+    bands = F.array_distinct(F.array(octave(F.col("n")), octave(F.col("n") / F.lit(similarity * 0.9999))))
+    dealt = one.select("set_id", "least", "n", "keys", F.explode(bands).alias("band"))
+    dealt = dealt.select("set_id", "least", "n", F.explode("keys").alias("key"), "band").withColumn("key", F.xxhash64("key", "band"))
     shared = dealt.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("w")).where("c > 1")
     shared = shared.select("key", F.greatest(F.ceil(F.col("c") / rows), F.ceil(F.col("w") / hashes)).cast("int").alias("blocks"))
     mine = dealt.join(shared, "key").withColumn("b", F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int"))
