@@ -159,3 +159,23 @@ def test_one_of_similar_keeps_the_columns(odd):
     kept = [r.doc_id for r in got.collect()]
     assert sorted(d for d in kept if d is not None) == sorted(want)
     assert kept.count(None) == odd.where("doc_id IS NULL").count()
+
+
+def test_much_repeated_short_line_hides_no_copy(spark):
+    """The line's few shingles change the sets little, but most bits of a fingerprint that counts repeats."""
+    rng, rows = random.Random(3), []
+    for i in range(24):
+        text = " ".join(f"w{rng.randrange(10**6)}" for _ in range(500))
+        rows += [(2 * i, text), (2 * i + 1, text + f"\nsee note {i} on page {i + 7}" * 300)]
+    got = rows_of(simhash.similar_groups(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert Counter(got) == brute_similar(rows) and all(c == d - d % 2 for d, c in got)
+
+
+def test_maps_bound_the_difference_of_sets():
+    rng = np.random.default_rng(4)
+    for n in (1, 5, 60, 300, 9000):
+        a = np.unique(rng.integers(0, 1 << 32, n).astype(np.uint32))
+        for k in (0, 1, n // 10, n):
+            b = np.unique(np.concatenate([a[k:], rng.integers(0, 1 << 32, k).astype(np.uint32)]))
+            x, y = simhash.parities([a.view(np.int32), b.view(np.int32)], max(len(a), len(b), 1))
+            assert np.bitwise_count(x ^ y).sum() <= len(np.setxor1d(a, b))

@@ -188,46 +188,56 @@ def one_of_each(docs: DataFrame, radius: int = 2, shingle: int = 3) -> DataFrame
     return named.unionByName(docs.where("doc_id IS NULL"))
 
 
-#: Bits in which fingerprints of texts of similarity 0.8 may differ: 10 are expected, over 20 about once in 5,000.
-FAR = 20
+#: Most bits of the map of a set's shingles by which pairs of a tile are ruled out.
+WIDEST = 4096
 #: Odd factors that turn a shingle's hash into the independent orders whose least members name a text's tiles.
 ORDERS = np.array([(0x9E3779B97F4A7C15 * (2 * k + 1) ^ (0xBF58476D1CE4E5B9 << k)) % (1 << 64) | 1 for k in range(4)], np.uint64)
 
 
 def _sketch(shingle: int, whole: bool):
-    """(doc_id, set_id, fp, n, keys) of each text, or with `whole` (doc_id, set_id, fp, hashes), the distinct
-    shingles as 32-bit hashes. Equal set_id: the same set of shingles. Wordless texts have set_id 0 and no keys."""
+    """(doc_id, set_id, n, keys) of each text, or with `whole` (doc_id, set_id, hashes), the distinct shingles as
+    32-bit hashes. Equal set_id: the same set of shingles. Wordless texts have set_id 0 and no keys."""
 
     def run(batches):
         for b in batches:
             out = []
             for text in b.column(1).to_pylist():
-                h = shingle_hashes(text, shingle)
-                u = np.unique(h)
+                u = np.unique(shingle_hashes(text, shingle))
                 name = xxhash.xxh64_intdigest(u.tobytes(), 1) if u.size else 0
                 mixed = u ^ (u >> np.uint64(29))
                 extra = np.unique(u.astype(np.uint32)).view(np.int32) if whole else (mixed[:, None] * ORDERS).min(0).view(np.int64) if u.size else np.zeros(0, np.int64)
-                out.append((name - (name >> 63 << 64), majority(h), u.size, extra))
-            ids, fps, sizes, extras = zip(*out, strict=True) if out else ((), (), (), ())
-            cols = [b.column(0), pa.array(ids, pa.int64()), pa.array(fps, pa.int64())]
+                out.append((name - (name >> 63 << 64), u.size, extra))
+            ids, sizes, extras = zip(*out, strict=True) if out else ((), (), ())
+            cols = [b.column(0), pa.array(ids, pa.int64())]
             if whole:
-                yield pa.RecordBatch.from_arrays([*cols, pa.array(extras, pa.list_(pa.int32()))], names=["doc_id", "set_id", "fp", "hashes"])
+                yield pa.RecordBatch.from_arrays([*cols, pa.array(extras, pa.list_(pa.int32()))], names=["doc_id", "set_id", "hashes"])
             else:
-                yield pa.RecordBatch.from_arrays([*cols, pa.array(sizes, pa.int64()), pa.array(extras, pa.list_(pa.int64()))], names=["doc_id", "set_id", "fp", "n", "keys"])
+                yield pa.RecordBatch.from_arrays([*cols, pa.array(sizes, pa.int64()), pa.array(extras, pa.list_(pa.int64()))], names=["doc_id", "set_id", "n", "keys"])
 
     return run
 
 
 def sketches(docs: DataFrame, shingle: int, whole: bool = False) -> DataFrame:
-    schema = docs.select("doc_id").schema.add("set_id", "long").add("fp", "long")
+    schema = docs.select("doc_id").schema.add("set_id", "long")
     schema = schema.add("hashes", T.ArrayType(T.IntegerType())) if whole else schema.add("n", "long").add("keys", T.ArrayType(T.LongType()))
     return docs.select("doc_id", "text").mapInArrow(_sketch(shingle, whole), schema)
 
 
-def verify(names, fps, sides, sets, similarity: float, forest) -> None:
-    """Joins in the forest the texts of one tile whose sets are as similar: pairs of both sides, or all pairs if the
-    tile has one. Fingerprints are sorted by population count, so that blocks too far apart are skipped whole; pairs
-    within FAR bits whose sizes allow it, and that aren't joined yet, are decided by their sets."""
+def parities(sets, most: int) -> np.ndarray:
+    """A bit map of each set: whether a bit's place is hit by an odd number of its hashes. Two maps differ in at most
+    as many bits as there are hashes in one of the sets alone. As wide as the size `most` asks for, up to WIDEST."""
+    bits = max(64, min(WIDEST, 1 << (most - 1).bit_length()))
+    out = np.zeros((len(sets), bits // 64), np.uint64)
+    for i, x in enumerate(sets):
+        out[i] = np.packbits(np.bincount(x & np.int32(bits - 1), minlength=bits).astype(np.uint8) & 1).view(np.uint64)
+    return out
+
+
+def verify(names, sides, sets, similarity: float, forest) -> None:
+    """Joins in the forest the names of the sets of one tile that are as similar: pairs of both sides, or all pairs if
+    the tile has one. Blocks in the order of size are skipped whole where sizes rule out all pairs; XOR of the maps
+    bounds the difference of two sets from below, so that it rules out none that is similar. All other pairs, if not
+    joined yet, are decided by their sets."""
     held, kept = {}, 0
 
     def members(i):
@@ -241,27 +251,32 @@ def verify(names, fps, sides, sets, similarity: float, forest) -> None:
         return held[i]
 
     size = np.fromiter(map(len, sets), np.int64, len(sets))
-    count = np.bitwise_count(fps.view(np.uint64)).astype(np.int64)
-    order, both, block = np.argsort(count, kind="stable"), len(np.unique(sides)) > 1, 512
+    maps, apart = parities(sets, int(size.max())), (1 - similarity) / (1 + similarity)
+    order, both, block = np.argsort(size, kind="stable"), len(np.unique(sides)) > 1, 512
     for i in range(0, len(order), block):
         a = order[i : i + block]
         for j in range(i, len(order), block):
             b = order[j : j + block]
-            if count[b[0]] - count[a[-1]] > FAR:
+            if size[a[-1]] < similarity * size[b[0]]:
                 break
-            near = np.bitwise_count(fps[a].view(np.uint64)[:, None] ^ fps[b].view(np.uint64)[None, :]) <= FAR
-            least, most = np.minimum(size[a][:, None], size[b]), np.maximum(size[a][:, None], size[b])
-            near &= least >= similarity * most
+            roots = [np.array([forest.root(names[x]) for x in some.tolist()], np.int64) for some in (a, b)]
+            near = (np.minimum(size[a][:, None], size[b]) >= similarity * np.maximum(size[a][:, None], size[b])) & (roots[0][:, None] != roots[1])
             if both:
                 near &= sides[a][:, None] != sides[b]
             if i == j:
                 near = np.triu(near, 1)
             x, y = np.nonzero(near)
-            for u, v in zip(a[x].tolist(), b[y].tolist(), strict=True):
-                if forest.root(names[u]) != forest.root(names[v]):
-                    shared = len(members(u) & members(v))
-                    if shared >= similarity * (size[u] + size[v] - shared):
-                        forest.join(names[u], names[v])
+            for lo in range(0, len(x), 1 << 15):
+                u, v = a[x[lo : lo + (1 << 15)]], b[y[lo : lo + (1 << 15)]]
+                differ = np.zeros(len(u), np.int64)
+                for word in maps.T:
+                    differ += np.bitwise_count(word[u] ^ word[v])
+                fits = differ <= (size[u] + size[v]) * apart + 1e-6
+                for u, v in zip(u[fits].tolist(), v[fits].tolist(), strict=True):
+                    if forest.root(names[u]) != forest.root(names[v]):
+                        shared = len(members(u) & members(v))
+                        if shared >= similarity * (size[u] + size[v] - shared):
+                            forest.join(names[u], names[v])
 
 
 def _verified(similarity: float):
@@ -272,18 +287,18 @@ def _verified(similarity: float):
 
         def close():
             if len(rows) > 1:
-                names, fps, sides, sets = zip(*rows, strict=True)
-                verify(names, np.array(fps, np.int64), np.array(sides, np.int64), sets, similarity, forest)
+                names, sides, sets = zip(*rows, strict=True)
+                verify(names, np.array(sides, np.int64), sets, similarity, forest)
             rows.clear()
 
         for batch in batches:
             keys = list(zip(*[batch.column(i).to_pylist() for i in range(3)], strict=True))
-            names, fps, sides = (batch.column(i).to_pylist() for i in (3, 4, 5))
+            names, sides = (batch.column(i).to_pylist() for i in (3, 4))
             for i, key in enumerate(keys):
                 if key != tile:
                     close()
                     tile = key
-                rows.append((names[i], fps[i], sides[i], batch.column(6)[i].values.to_numpy()))
+                rows.append((names[i], sides[i], batch.column(5)[i].values.to_numpy()))
         close()
         yield forest.edges()
 
@@ -297,8 +312,8 @@ def similar_groups(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, r
     Fingerprints of such pairs differ in far more than two bits, so tiles by population count alone would compare all
     with all. Here a text enters one tile for each of four orders of its shingles, named by the least shingle: a pair
     at 0.8 shares none with probability 0.2 ** 4. Tiles are split by the octave of a set's size; a set whose partners
-    may lie in the next octave enters that too, so `similarity` has to be over a half. Within a tile population counts, XOR and sizes pick the pairs, and
-    the sets decide. Equal sets are one member. A tile of more than `rows` members or `hashes` shingles is split into
+    may lie in the next octave enters that too, so `similarity` has to be over a half. Within a tile sizes and the XOR
+    of bit maps rule out pairs that can't be similar, and the sets decide all others. Equal sets are one member. A tile of more than `rows` members or `hashes` shingles is split into
     blocks that meet in pairs, so no task holds a whole hot tile and none is cut short."""
     named = docs.where("doc_id IS NOT NULL")
     all_ = saved(sketches(named, shingle))
@@ -315,7 +330,7 @@ def similar_groups(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, r
     tiles = saved(mine.select("key", F.least("b", "j").alias("a"), F.greatest("b", "j").alias("z"), "set_id", (F.col("b") < F.col("j")).cast("int").alias("side"), "least"))
     needed = tiles.select(F.col("least").alias("__doc")).distinct()
     sets = sketches(named.join(needed, F.col("doc_id") == F.col("__doc"), "left_semi"), shingle, whole=True).dropDuplicates(["set_id"]).drop("doc_id")
-    full = tiles.join(sets, "set_id").select("key", "a", "z", "set_id", "fp", "side", "hashes")
+    full = tiles.join(sets, "set_id").select("key", "a", "z", "set_id", "side", "hashes")
     edges = full.repartition("key", "a", "z").sortWithinPartitions("key", "a", "z").mapInArrow(_verified(similarity), "u long, v long")
     group = components(edges)
     per = saved(one.join(group, F.col("set_id") == F.col("node"), "left").select("set_id", "least", F.coalesce("component", "set_id").alias("component")))
