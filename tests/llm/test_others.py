@@ -88,6 +88,22 @@ def test_embeddings_equal_all_pairs(spark, whole):
     assert all(by[i].component_id == 1 for i in range(260, 280))
 
 
+def test_dense_region_reaches_the_recall(spark):
+    """A third of the vectors lie in a broad cone, at cosine 0.7 to each other, with planted pairs at 0.91 within."""
+    rng = np.random.default_rng(7)
+    unit = lambda x: x / np.linalg.norm(x, axis=-1, keepdims=True)
+    x = unit(rng.normal(size=(24_000, 64)))
+    x[:8000] = unit(np.sqrt(0.7) * unit(rng.normal(size=64)) + np.sqrt(0.3) * x[:8000])
+    aside = rng.normal(size=(400, 64))
+    aside = unit(aside - (aside * x[:400]).sum(1, keepdims=True) * x[:400])
+    pairs = 0.91 * x[:400] + np.sqrt(1 - 0.91**2) * aside
+    rows = [(i, e.tolist()) for i, e in enumerate(np.concatenate([x, pairs]))]
+    got = embeddings.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    group = dict(rows_of(got.select("vec_id", "component_id")))
+    found = sum(group[i] == group[24_000 + i] for i in range(400))
+    assert found >= embeddings.RECALL * 400, found
+
+
 def test_machine_learns_a_pair_that_weights_alone_miss():
     rng = random.Random(0)
     known = [toxicity.zlib.crc32(w) for w in (b"aa", b"bb", b"cc")]

@@ -16,6 +16,8 @@ from tramline.llm.shared import checked, components, ranked, saved
 WINDOW = 256
 #: The passes find a pair at the threshold with this probability, counting hash bits as independent.
 RECALL = 0.97
+#: Most passes of one vector: where copies fill the windows, no number of passes reaches the recall.
+MOST = 96
 #: Members of a class that are compared in one task; larger classes are cut into cells.
 WHOLE = 2048
 CELL = 512
@@ -98,22 +100,56 @@ def _window(least: float, window: int):
     return run
 
 
-def links(distinct: DataFrame, least: float = 0.9, window: int = WINDOW, recall: float = RECALL, seed: int = 0, passes: int | None = None, at_once: int = 4) -> DataFrame:
+def missed(order: DataFrame, least: float, window: int) -> DataFrame:
+    """node, miss: the log of the chance that all passes of `order` miss a pair of the node at the threshold. In a
+    pass the members with one more leading bit than the node shares with those `window` places before and behind
+    all lie within its window, and a pair shares each bit with probability 1 - angle / pi."""
+    same = 1 - math.acos(max(-1.0, min(1.0, least))) / math.pi
+    far = order.select(F.col("pass").alias("f_pass"), F.col("dim").alias("f_dim"), F.col("sig").alias("f_sig"), F.col("node").alias("f_node"), F.col("rank").alias("f_rank"))
+    ahead = order.select("pass", "dim", "sig", "node", (F.col("rank") + window).alias("at"))
+    met = ahead.join(far, (F.col("at") == F.col("f_rank")) & (F.col("pass") == F.col("f_pass")) & (F.col("dim") == F.col("f_dim")))
+    x = F.col("sig").bitwiseXOR(F.col("f_sig"))
+    met = met.withColumn("bits", F.when(x == 0, 64).when(x < 0, 0).otherwise(63 - F.floor(F.log2(x))).cast("int") + 1)
+    each = met.select("pass", "bits", F.explode(F.array("node", "f_node")).alias("node")).groupBy("pass", "node").agg(F.max("bits").alias("bits"))
+    # who has no one so far away in a pass, before or behind, meets all there and is not in `each`
+    chance = F.pow(F.lit(same), F.least("bits", F.lit(64)))
+    dense = each.groupBy("node").agg(F.sum(F.log(F.greatest(1 - chance, F.lit(1e-12)))).alias("miss"), F.count(F.lit(1)).alias("seen"))
+    passes = order.groupBy("node").agg(F.count(F.lit(1)).alias("passes"))
+    miss = F.when(F.col("seen") == F.col("passes"), F.col("miss")).otherwise(F.lit(-1e9))
+    return passes.join(dense, "node", "left").select("node", F.coalesce(miss, F.lit(-1e9)).alias("miss"))
+
+
+def links(distinct: DataFrame, least: float = 0.9, window: int = WINDOW, recall: float = RECALL, seed: int = 0, passes: int | None = None, at_once: int = 4, most: int = MOST) -> DataFrame:
     """(u, v): edges that join the same groups as all pairs that the passes verify.
 
     For each pass the vectors are ordered by their hash bits, and each is compared with the `window` after it: blocks
-    of the order meet the block behind them, and each task holds two blocks. Passes run `at_once` at a time, so that
-    the vectors in flight are a small multiple of the table."""
+    of the order meet the block behind them, and each task holds two blocks. Passes run in rounds of at least
+    `at_once`, with at most that many times the table's rows in flight. After a round a vector leaves if the bits that
+    it shared with the ends of its windows say that its pairs were found with probability `recall`; a pair's vectors
+    are together until the first of them leaves. Vectors of dense regions stay for more passes, `most` in all.
+    `passes` runs so many for all, in one round after another."""
     n = distinct.count()
-    passes = passes or passes_for(n, least, window, recall)
-    order = saved(ranked(signatures(distinct, passes, seed), ["pass", "dim", "sig", "node"]).select("pass", "dim", "node", "rank"))
-    found = []
-    for lo in range(0, passes, at_once):
-        some = order.where((F.col("pass") >= lo) & (F.col("pass") < lo + at_once)).join(distinct.select("node", "e"), "node")
+    first = passes or min(most, passes_for(n, least, window, recall))
+    active, left, done, found, scores = distinct.select("node", "e"), n, 0, [], None
+    while left > 1 and done < (passes or most):
+        k = max(at_once, min(at_once * n // left, 32)) if done else at_once
+        k = min(k, (first if done < first else passes or most) - done)
+        order = saved(ranked(signatures(active, k, seed + 1009 * done), ["pass", "dim", "sig", "node"]).select("pass", "dim", "sig", "node", "rank"))
+        some = order.drop("sig").join(active, "node")
         block = F.floor(F.col("rank") / window)
         sides = F.explode(F.array(F.struct(block.alias("block"), F.lit(True).alias("own")), F.struct((block - 1).alias("block"), F.lit(False).alias("own"))))
         both = some.select("pass", "dim", "node", "rank", "e", sides.alias("s")).select("pass", "dim", "node", "rank", "e", "s.block", "s.own")
         found.append(saved(both.groupBy("pass", "block").applyInArrow(_window(least, window), "u long, v long").distinct()))
+        done += k
+        if passes is None:
+            now = missed(order, least, window)
+            if scores is not None:
+                now = now.join(scores.withColumnRenamed("miss", "was"), "node").select("node", (F.col("miss") + F.col("was")).alias("miss"))
+            scores = saved(now.where(F.col("miss") > math.log(1 - recall)))
+            left = scores.count()
+            active = distinct.select("node", "e").join(scores.select("node"), "node", "left_semi")
+    if not found:
+        return distinct.select(F.col("node").alias("u"), F.col("node").alias("v")).limit(0)
     out = found[0]
     for f in found[1:]:
         out = out.union(f)
