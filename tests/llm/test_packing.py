@@ -66,6 +66,8 @@ def test_plan_places_everything_once(seed):
             at += x
         assert at <= 2048
     assert len(bins) == plan.bins
+    least = -(-sum(x * n for x, n in hist.items()) // 2048)
+    assert plan.bins <= least * 1.005 + 2
 
 
 def test_patterns_are_fullest():

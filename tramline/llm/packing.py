@@ -21,10 +21,11 @@ from pyspark.sql import types as T
 from tramline.llm.shared import checked, ranked, saved
 
 CAPACITY = 2048
-#: Groups of equal cardinality that large lengths are rounded up to.
-GROUPS = 48
+#: Groups of equal cardinality that large lengths are rounded up to. Rounding wastes about a group's width in each
+#: place, so few groups cost sequences; the number bounds the work, whatever the number of pieces.
+GROUPS = 768
 #: Pieces of at least this part of the capacity are large.
-LARGE = 1 / 8
+LARGE = 1 / 4
 
 
 #: Lower-case text of ASCII and Latin-1 letters, in UTF-8, which normalizes to itself; other words are encoded whole.
@@ -259,16 +260,12 @@ def _best_fit(plan: Plan, hist: dict[int, int]) -> None:
 
 
 def plan(hist: dict[int, int], capacity: int = CAPACITY, groups: int = GROUPS, large: float = LARGE) -> Plan:
-    """Packs hist[length] pieces of each length. Of the grouping scheme and plain best fit in descending order over
-    the same counts, the one with fewer sequences; both see every piece."""
-    made = []
-    for cut in (large, None):
-        p = Plan(capacity)
-        least = capacity * cut if cut else capacity + 1
-        _configure(p, {x: n for x, n in hist.items() if x >= least and n}, groups)
-        _best_fit(p, {x: n for x, n in hist.items() if x < least and n})
-        made.append(p)
-    return min(made, key=lambda p: p.bins)
+    """Packs hist[length] pieces of each length: the large ones by linear grouping and configurations, then the
+    small ones by best fit into what is left and into new sequences."""
+    made, least = Plan(capacity), capacity * large
+    _configure(made, {x: n for x, n in hist.items() if x >= least and n}, groups)
+    _best_fit(made, {x: n for x, n in hist.items() if x < least and n})
+    return made
 
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY, groups: int = GROUPS, large: float = LARGE) -> DataFrame:
