@@ -104,18 +104,31 @@ def test_dense_region_reaches_the_recall(spark):
     assert found >= embeddings.RECALL * 400, found
 
 
-def test_machine_learns_a_pair_that_weights_alone_miss():
-    rng = random.Random(0)
-    known = [toxicity.zlib.crc32(w) for w in (b"aa", b"bb", b"cc")]
-    rows, y = [], []
-    for _ in range(1500):
+def test_judge_learns_a_pair_that_no_word_tells(spark):
+    """Toxic if exactly one of two words occurs: neither word alone says anything about the label."""
+    rng, rows = random.Random(0), []
+    for i in range(4000):
         a, b = rng.random() < 0.5, rng.random() < 0.5
-        rows.append([i for i, on in enumerate((a, b)) if on] + [2])
-        y.append(int(a and b))
-    m = toxicity.Machine(known)
-    m.fit(rows, y, epochs=40)
-    score = lambda r: m.raw(r)
-    assert score([0, 1, 2]) > 0 > max(score([0, 2]), score([1, 2]), score([2]))
+        words = [f"word{rng.randrange(200)}" for _ in range(20)] + ["zorp"] * a + ["quix"] * b
+        rng.shuffle(words)
+        rows.append((i, " ".join(words), int(a != b)))
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], 1, r[2]) for r in rows], "doc_id long, quality int, toxic int")
+    got = [r for r in toxicity.judge(docs, labels).collect() if r.held_out]
+    assert len(got) > 700 and sum(r.predicted == rows[r.doc_id][2] for r in got) >= 0.95 * len(got)
+
+
+def test_scores_equal_all_pairs_of_terms(spark, documents, sf_dir):
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = toxicity.train(documents, labels)
+    texts = rows_of(documents.select("doc_id", "text"))
+    want = Counter()
+    for d, text in texts:
+        at = [model.at[i] for i in sorted({t % toxicity.BUCKETS for t in toxicity.terms(text)}) if i in model.at]
+        x = model.b + sum(model.w[i] for i in at) + sum(float(model.v[i] @ model.v[j]) for k, i in enumerate(at) for j in at[:k])
+        p = 1 / (1 + np.exp(-x))
+        want[d, toxicity.zlib.crc32(str(d).encode()) % 5 == 0, round(float(p), 9), int(p >= 0.5)] += 1
+    assert Counter((r.doc_id, r.held_out, round(r.score, 9), r.predicted) for r in toxicity.judge(documents, labels).collect()) == want
 
 
 def test_toxicity_held_out_and_odd_rows(spark, odd, empty):

@@ -19,6 +19,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def unused(name: str, *frames: DataFrame) -> str:
+    """`name`, with underscores after it until no column of the frames has it, whatever the case."""
+    taken = {c.lower() for f in frames for c in f.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def ascii_lower(col: Column) -> Column:
     """Lower-cases A-Z alone. For texts without other characters lower() does the same, much faster."""
     plain = F.octet_length(col) == F.char_length(col)

@@ -11,10 +11,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Bounds of the training: labelled rows, terms that the model knows, interactions' rank.
-MOST_ROWS = 20_000
-MOST_TERMS = 4096
-RANK = 4
+from tramline.llm.shared import unused
+
+#: Bounds of the training: labelled rows, and the rank of the interactions.
+MOST_ROWS, RANK = 12_000, 4
+#: Terms are hashed into so many buckets; all of them take part, common or rare.
+BUCKETS = 1 << 18
+#: A bucket's interactions are learnt if at least so many training rows have it; its weight always.
+PAIRS_FROM = 20
 #: A term is a word, or the first so many bytes of a longer one, since insults are inflected and compounded.
 STEMS = (4, 5, 6, 7)
 _KEEP = string.ascii_lowercase + string.digits
@@ -28,6 +32,11 @@ def terms(text: str | None) -> set[int]:
     return set(map(zlib.crc32, words | found))
 
 
+def buckets(text: str | None) -> np.ndarray:
+    """The distinct buckets of a text's terms, ascending."""
+    return np.unique(np.fromiter(terms(text), np.int64) % BUCKETS).astype("<i4")
+
+
 def held_out(doc_id: str) -> Column:
     """Whether a row is kept from training: crc32 of its id as text is divisible by 5. Null ids are held out."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0, F.lit(True))
@@ -40,128 +49,131 @@ def labelled(docs: DataFrame, labels: DataFrame, most: int = MOST_ROWS) -> DataF
     return docs.select("doc_id", "text").join(F.broadcast(some), "doc_id").select("text", "toxic")
 
 
-def _counted(batches):
-    """Rows (term, n1, n0) of a partition: documents with each term, toxic and clean."""
-
-    def flush(kept, flags):
-        h, y = np.concatenate(kept), np.repeat(flags, [len(x) for x in kept])
-        u, at = np.unique(h, return_inverse=True)
-        n1 = np.bincount(at, weights=y).astype(np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(u), pa.array(n1), pa.array(np.bincount(at) - n1)], names=["term", "n1", "n0"])
-
-    kept, flags, size = [], [], 0
-    for b in batches:
-        for text, toxic in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-            found = np.fromiter(terms(text), np.int64)
-            kept.append(found)
-            flags.append(toxic)
-            size += len(found)
-            if size > 500_000:
-                yield flush(kept, flags)
-                kept, flags, size = [], [], 0
-    if kept:
-        yield flush(kept, flags)
-
-
-def telling_terms(rows: DataFrame, most: int = MOST_TERMS) -> list[int]:
-    """The terms whose presence goes most with the label, by chi-square; those of one or two rows never do."""
-    n1, n = (x or 0 for x in rows.agg(F.sum("toxic"), F.count(F.lit(1))).first())
-    per = rows.mapInArrow(_counted, "term long, n1 long, n0 long").groupBy("term").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0")).where("n1 + n0 >= 3")
-    a, b, c, d = F.col("n1"), F.col("n0"), F.lit(n1) - F.col("n1"), F.lit(n - n1) - F.col("n0")
-    diff = (a * d - b * c).cast("double")
-    chi = F.try_divide(diff * diff * n, (a + b).cast("double") * (c + d) * n1 * (n - n1))
-    return [r[0] for r in per.select("term", chi.alias("chi")).where("chi > 3.8").orderBy(F.desc("chi"), "term").limit(most).collect()]
+def _sigmoid(x):
+    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
 class Machine:
-    """score = sigmoid(b + sum w_i + sum over pairs <v_i, v_j>) over the known terms of a text."""
-
-    def __init__(self, known: list[int], rank: int = RANK, seed: int = 0):
-        rng = np.random.default_rng(seed)
-        self.at = {t: i for i, t in enumerate(sorted(known))}
-        self.keys = frozenset(self.at)
-        self.b, self.w = 0.0, np.zeros(len(known))
-        self.v = rng.normal(0, 0.02, (len(known), rank))
+    """score = sigmoid(b + sum w_i + sum over pairs <v_i, v_j>) over the buckets of a text that have learnt anything."""
 
-    def rows(self, text: str | None) -> list[int]:
-        return sorted(self.at[t] for t in self.keys & terms(text))
+    def __init__(self, rank: int = RANK):
+        self.rank, self.b, self.at, self.w, self.v = rank, -2.0, {}, np.zeros(0), np.zeros((0, rank))
 
-    def raw(self, rows: list[int]) -> float:
-        v = self.v[rows]
+    def raw(self, text: str | None) -> float:
+        at = [self.at[i] for i in buckets(text).tolist() if i in self.at]
+        v = self.v[at]
         s = v.sum(0)
-        return float(self.b + self.w[rows].sum() + 0.5 * ((s * s).sum() - (v * v).sum()))
+        return float(self.b + self.w[at].sum() + 0.5 * ((s * s).sum() - (v * v).sum()))
 
     def score(self, text: str | None) -> float:
-        return 1 / (1 + np.exp(-np.clip(self.raw(self.rows(text)), -30, 30)))
-
-    def fit(self, rows: list[list[int]], y: list[int], epochs: int = 12, rate: float = 0.1, decay: float = 1e-4, seed: int = 0) -> None:
-        """Adagrad on the logistic loss, in batches, in an order fixed by the seed."""
-        y, rng = np.asarray(y, float), np.random.default_rng(seed)
-        gb, gw, gv = 1e-8, np.full(self.w.shape, 1e-8), np.full(self.v.shape, 1e-8)
-        for _ in range(epochs):
-            order = rng.permutation(len(rows))
-            for lo in range(0, len(rows), 64):
-                some = order[lo : lo + 64]
-                n = np.array([len(rows[i]) for i in some])
-                at = np.array([j for i in some for j in rows[i]], int)
-                doc = np.repeat(np.arange(len(some)), n)
-                v = self.v[at]
-                s = np.zeros((len(some), v.shape[1]))
-                np.add.at(s, doc, v)
-                q = np.zeros(len(some))
-                np.add.at(q, doc, self.w[at] - 0.5 * (v * v).sum(1))
-                p = 1 / (1 + np.exp(-np.clip(self.b + q + 0.5 * (s * s).sum(1), -30, 30)))
-                g = (p - y[some]) / len(some)
-                dw, dv = np.zeros_like(self.w), np.zeros_like(self.v)
-                np.add.at(dw, at, g[doc])
-                np.add.at(dv, at, g[doc, None] * (s[doc] - v))
-                seen = np.unique(at)
-                dw, dv = dw[seen] + decay * self.w[seen], dv[seen] + decay * self.v[seen]
-                gb += g.sum() ** 2
-                gw[seen] += dw * dw
-                gv[seen] += dv * dv
-                self.b -= rate * g.sum() / np.sqrt(gb)
-                self.w[seen] -= rate * dw / np.sqrt(gw[seen])
-                self.v[seen] -= rate * 0.3 * dv / np.sqrt(gv[seen])
-
-
-def train(docs: DataFrame, labels: DataFrame, most_rows: int = MOST_ROWS, most_terms: int = MOST_TERMS, rank: int = RANK) -> Machine:
+        return float(_sigmoid(self.raw(text)))
+
+    def fit(self, rows: list[np.ndarray], y: list[int], first: int = 4, epochs: int = 24, patience: int = 8, batch: int = 128, seed: int = 0) -> None:
+        """Fits the logistic loss on rows of buckets, in batches, in an order fixed by the seed.
+
+        The weights come first, for `first` epochs, by FTRL with an L1 term that keeps a bucket at zero until its
+        gradients agree; then weights and interactions together for at most `epochs`. A row's gradient on interactions is
+        divided by its number of terms, so that no long text is learnt by heart. The state with the least loss on a
+        tenth of the rows, which no step sees, is kept, and `patience` epochs without a better one end the fit."""
+        rng, y, rank = np.random.default_rng(seed), np.asarray(y, float), self.rank
+        used, flat = np.unique(np.concatenate([np.zeros(0, np.int64), *rows]), return_inverse=True)
+        ptr = np.r_[0, np.cumsum([len(r) for r in rows])].astype(np.int64)
+        perm = rng.permutation(len(rows))
+        check, train = np.split(perm, [len(rows) // 10])
+        pairs = np.flatnonzero(np.bincount(flat, minlength=len(used)) >= PAIRS_FROM)
+        place = np.full(len(used), -1)
+        place[pairs] = np.arange(len(pairs))
+        l1, l2, beta, decay = max(1.0, min(10.0, len(rows) / 400)), 1.0, 1.0, 0.01
+        z, n, w, v = np.zeros(len(used)), np.zeros(len(used)), np.zeros(len(used)), rng.normal(0, 0.01, (len(pairs), rank))
+        b, seen, alpha, best, since = self.b, 1.0, 0.2, None, 0
+
+        def forward(some, both):
+            size, k = ptr[some + 1] - ptr[some], len(some)
+            doc = np.repeat(np.arange(k), size)
+            at = flat[np.arange(size.sum()) + np.repeat(ptr[some] - np.r_[0, np.cumsum(size)[:-1]], size)]
+            out = b + np.bincount(doc, w[at], k)
+            if not both:
+                return doc, at, out, None
+            a = place[at]
+            a, d = a[a >= 0], doc[a >= 0]
+            va = v[a]
+            s = np.stack([np.bincount(d, va[:, j], k) for j in range(rank)], 1)
+            return doc, at, out + 0.5 * ((s * s).sum(1) - np.bincount(d, (va * va).sum(1), k)), (a, d, va, s)
+
+        for epoch in range(first + epochs):
+            both = epoch >= first
+            if epoch == first:  # quicker steps from here on, from the same weights
+                n, alpha = np.ones(len(used)), 0.5
+                z = -w * ((beta + np.sqrt(n)) / alpha + l2) - np.sign(w) * l1
+            order = train[rng.permutation(len(train))]
+            for lo in range(0, len(order), batch):
+                some = order[lo : lo + batch]
+                doc, at, out, x = forward(some, both)
+                g = _sigmoid(out) - y[some]
+                dw = np.bincount(at, g[doc], len(used))
+                z += dw - (np.sqrt(n + dw * dw) - np.sqrt(n)) / alpha * w
+                n += dw * dw
+                w = np.where(np.abs(z) <= l1, 0, (np.sign(z) * l1 - z) / ((beta + np.sqrt(n)) / alpha + l2))
+                seen += g.sum() ** 2
+                b -= 0.1 * g.sum() / np.sqrt(seen)
+                if both and len(pairs):
+                    a, d, va, s = x
+                    t = (g / np.maximum(1, np.bincount(d, minlength=len(some))))[d, None] * (s[d] - va)
+                    dv = np.stack([np.bincount(a, t[:, j], len(pairs)) for j in range(rank)], 1)
+                    v -= np.clip(0.1 * (dv + decay * v), -0.2, 0.2)
+            tried = check if len(check) else train
+            out = np.concatenate([forward(tried[i : i + 512], both)[2] for i in range(0, len(tried), 512)])
+            loss = np.logaddexp(0, np.where(y[tried] > 0, -out, out)).mean()
+            since += 1
+            if best is None or loss < best[0]:
+                best, since = (loss, b, w.copy(), v.copy() if both else np.zeros_like(v)), 0
+            if epoch >= first + patience and since >= patience:
+                break
+        _, self.b, w, v = best
+        every = np.zeros((len(used), rank))
+        every[pairs] = v
+        told = np.flatnonzero((w != 0) | (np.abs(every).max(1, initial=0) > 1e-3))
+        self.at, self.w, self.v = {int(i): k for k, i in enumerate(used[told])}, w[told], every[told]
+
+
+def train(docs: DataFrame, labels: DataFrame, most_rows: int = MOST_ROWS, rank: int = RANK) -> Machine:
     """A machine fitted on at most `most_rows` labelled rows; without any, it scores every text alike, below 0.5."""
-    rows = labelled(docs, labels, most_rows)
-    model = Machine(telling_terms(rows, most_terms), rank)
 
-    def known(batches):
+    def hashed(batches):
         for b in batches:
-            yield pa.RecordBatch.from_arrays([pa.array([model.rows(t) for t in b.column(0).to_pylist()], pa.list_(pa.int32())), b.column(1).cast(pa.int32())], names=["rows", "toxic"])
+            yield pa.RecordBatch.from_arrays([pa.array([buckets(t).tobytes() for t in b.column(0).to_pylist()], pa.binary()), b.column(1).cast(pa.int32())], names=["rows", "toxic"])
 
-    got = sorted((list(r.rows), r.toxic) for r in rows.mapInArrow(known, "rows array<int>, toxic int").collect())
-    model.b = -2.0
+    got = sorted((bytes(r.rows), r.toxic) for r in labelled(docs, labels, most_rows).mapInArrow(hashed, "rows binary, toxic int").collect())
+    model = Machine(rank)
     if got:
-        model.fit([r for r, _ in got], [y for _, y in got])
+        model.fit([np.frombuffer(r, "<i4") for r, _ in got], [y for _, y in got])
     return model
 
 
-def scored(docs: DataFrame, model: Machine) -> DataFrame:
-    """`docs` with a column __score, by text alone."""
+def scored(docs: DataFrame, model: Machine, name: str) -> DataFrame:
+    """`docs` with a column `name`, the score by text alone."""
     given = docs.columns
-    schema = T.StructType([*docs.schema.fields, T.StructField("__score", T.DoubleType())])
+    schema = T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())])
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
         model = shared.value
         for b in batches:
             scores = pa.array([model.score(t) for t in b.column(b.schema.get_field_index("text")).to_pylist()], pa.float64())
-            yield pa.RecordBatch.from_arrays([*b.columns, scores], names=[*given, "__score"])
+            yield pa.RecordBatch.from_arrays([*b.columns, scores], names=[*given, name])
 
     return docs.mapInArrow(run, schema)
 
 
 def judge(docs: DataFrame, labels: DataFrame, **bounds) -> DataFrame:
-    """doc_id, held_out, score, predicted for each document. Labels, lang, source and doc_id are no inputs."""
-    out = scored(docs.select("doc_id", "text"), train(docs, labels, **bounds))
-    return out.select("doc_id", held_out("doc_id").alias("held_out"), F.col("__score").alias("score"), (F.col("__score") >= 0.5).cast("int").alias("predicted"))
+    """doc_id, held_out, score, predicted for each document. Labels, lang, source and doc_id are no inputs. Null and
+    empty texts have no terms and score alike; rows that repeat give rows that repeat; no documents give no rows; a
+    text of any length is read whole; other columns, whatever their names, are left aside."""
+    out = scored(docs.select("doc_id", "text"), train(docs, labels, **bounds), "score")
+    return out.select("doc_id", held_out("doc_id").alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def clean(docs: DataFrame, labels: DataFrame, **bounds) -> DataFrame:
-    """The documents whose score is below 0.5, columns as given."""
-    return scored(docs, train(docs, labels, **bounds)).where("__score < 0.5").select(*docs.columns)
+    """The documents whose score is below 0.5, columns as given, whatever their names; cases as in `judge`."""
+    name = unused("score", docs)
+    return scored(docs, train(docs, labels, **bounds), name).where(F.col(name) < 0.5).select(*docs.columns)
