@@ -50,7 +50,17 @@ def test_runs_that_cross_partitions(spark):
 
 
 def test_columns_and_empty(odd, empty):
-    assert linededup.deduped(odd).columns == [*odd.columns, "__lines", "__dropped"]
+    assert linededup.deduped(odd).columns == odd.columns
+    assert linededup.deduped(odd, counts=("a", "b")).columns == [*odd.columns, "a", "b"]
     assert linededup.summary(empty).count() == 0
     texts = {r.doc_id: r.text for r in linededup.deduped(odd).collect() if r.doc_id is not None}
     assert texts[0] is None and texts[3] == ""
+
+
+def test_ids_of_other_types(spark, odd):
+    """Zero-padded texts sort like the numbers, so the same lines go."""
+    name = lambda d: None if d is None else f"{d:08d}"
+    rows = [(name(d), t) for d, t in rows_of(odd.select("doc_id", "text"))]
+    got = linededup.summary(spark.createDataFrame(rows, "doc_id string, text string"))
+    assert got.schema["doc_id"].dataType.simpleString() == "string"
+    assert Counter(rows_of(got)) == Counter({(name(d), *x): n for (d, *x), n in brute(rows_of(odd.select("doc_id", "text"))).items()})

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tramline.llm.shared import ascii_lower, checked, saved
+from tramline.llm.shared import ascii_lower, checked, ranked, saved, unused
 
 #: Stands for a null doc_id in keys; it is the smallest id, so such a document keeps a line only if no other has it.
 NO_ID = -(1 << 63)
@@ -20,7 +20,7 @@ OUT = "kind int, h1 long, h2 long, doc long, row long, n long"
 def line_keys(docs: DataFrame, least_chars: int) -> DataFrame:
     """h1, h2, doc, row, pos for each line whose key has at least `least_chars` code points. The key is the line
     without white space at its ends, A-Z lower-cased; 128 bits of two hashes stand for it. `row` is the hash of the
-    text, so that rows that share an id don't mix."""
+    text, so that rows that share an id don't mix. doc_id has to be an integer; other ids go through `numbered`."""
     text = F.coalesce(F.col("text"), F.lit(""))
     base = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), F.xxhash64(text).alias("row"), text.alias("text"))
     lines = base.select("doc", "row", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
@@ -29,6 +29,16 @@ def line_keys(docs: DataFrame, least_chars: int) -> DataFrame:
     return lines.select(F.xxhash64(key).alias("h1"), F.xxhash64(F.lit(7), key).alias("h2"), "doc", "row", F.col("pos").cast("long").alias("pos"))
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """The documents with doc_id replaced by its place in ascending order where it isn't an integer, so that the
+    largest id is still the largest; nulls stay null, equal ids equal."""
+    if isinstance(docs.schema["doc_id"].dataType, T.IntegralType):
+        return docs
+    ids = ranked(docs.select("doc_id").where("doc_id IS NOT NULL").distinct(), ["doc_id"]).select(F.col("doc_id").alias("n_id"), F.col("rank").alias("n_rank"))
+    kept = [F.col(f"d.`{c}`") if c != "doc_id" else F.col("n.n_rank").alias("doc_id") for c in docs.columns]
+    return docs.alias("d").join(ids.alias("n"), F.col("d.doc_id") == F.col("n.n_id"), "left").select(*kept)
+
+
 def _emit(kind, h1, h2, doc, row, n):
     size = len(doc)
     full = lambda x: np.broadcast_to(np.asarray(x, np.int64), size)
@@ -52,24 +62,27 @@ def _stream(least_docs: int):
         return [_emit(0, h1[out], h2[out], doc[out], row[out], pos[out])]
 
     def runs(batches):
-        held, first = None, True
+        held, first = [], True  # the parts of the run that isn't over yet, joined once when it is
+        whole = lambda: [np.concatenate(x) for x in zip(*held, strict=True)]
         for b in batches:
             cols = [b.column(i).to_numpy(zero_copy_only=False) for i in range(5)]
             if not len(cols[0]):
                 continue
-            if held is not None:
-                cols = [np.concatenate(x) for x in zip(held, cols, strict=True)]
             new = np.flatnonzero((cols[0][1:] != cols[0][:-1]) | (cols[1][1:] != cols[1][:-1])) + 1
+            if held and (cols[0][0] != held[-1][0][-1] or cols[1][0] != held[-1][1][-1]):
+                yield from decide(whole(), first)
+                held, first = [], False
             if not len(new):
-                held = cols
+                held.append(cols)
                 continue
-            if first:
-                yield from decide([x[: new[0]] for x in cols], True)
-            if (lo := new[0] if first else 0) < new[-1]:
-                yield from decide([x[lo : new[-1]] for x in cols], False)
-            held, first = [x[new[-1] :] for x in cols], False
-        if held is not None:
-            yield from decide(held, True)
+            held.append([x[: new[0]] for x in cols])
+            yield from decide(whole(), first)
+            first = False
+            if new[0] < new[-1]:
+                yield from decide([x[new[0] : new[-1]] for x in cols], False)
+            held = [[x[new[-1] :] for x in cols]]
+        if held:
+            yield from decide(whole(), True)
 
     return runs
 
@@ -107,15 +120,23 @@ def keep_bitmaps(docs: DataFrame, least_chars: int = 40, least_docs: int = 5) ->
     return per.mapInArrow(pack, "doc long, row long, dropped long, bitmap binary")
 
 
-def deduped(docs: DataFrame, least_chars: int = 40, least_docs: int = 5) -> DataFrame:
-    """The documents' columns with `text` after dedup, and __lines, __dropped. A text that loses nothing stays as it
-    is; null and empty texts are one empty line and lose nothing. Rows that repeat are one document."""
-    maps = keep_bitmaps(docs, least_chars, least_docs).withColumnsRenamed({"doc": "__doc", "row": "__row", "dropped": "__cut", "bitmap": "__bitmap"})
-    text = F.coalesce(F.col("text"), F.lit(""))
-    keyed = docs.withColumns({"__id": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), "__hash": F.xxhash64(text)})
-    both = keyed.join(maps, (F.col("__id") == F.col("__doc")) & (F.col("__hash") == F.col("__row")), "left")
-
+def deduped(docs: DataFrame, least_chars: int = 40, least_docs: int = 5, counts: tuple[str, str] | None = None) -> DataFrame:
+    """The documents' columns, whatever their names, with `text` after dedup, and two more named by `counts`: lines
+    before and lines dropped. A text that loses nothing stays as it is; null and empty texts are one empty line and lose
+    nothing. Rows that repeat id and text are one document, and so are all without an id that share a text. Very
+    long texts are read whole; no documents give none. Ids may be of any type that has an order."""
+    number = not isinstance(docs.schema["doc_id"].dataType, T.IntegralType)
+    if number:  # ids by rank, the given ones in a column aside
+        aside = unused("given_id", docs)
+        docs = numbered(docs.withColumn(aside, F.col("doc_id")))
+    maps = keep_bitmaps(docs, least_chars, least_docs).withColumnsRenamed({"doc": "m_doc", "row": "m_row", "dropped": "m_cut", "bitmap": "m_bitmap"})
+    text = F.coalesce(F.col("d.text"), F.lit(""))
+    same = (F.coalesce(F.col("d.doc_id").cast("long"), F.lit(NO_ID)) == F.col("m.m_doc")) & (F.xxhash64(text) == F.col("m.m_row"))
     given = docs.columns
+    bitmap, cut, total = (unused(n, docs) for n in ("bitmap", "cut", "lines"))
+    lines = F.char_length(text) - F.char_length(F.replace(text, F.lit("\n"))) + 1
+    both = docs.alias("d").join(maps.alias("m"), same, "left")
+    both = both.select(*[F.col(f"d.`{c}`") for c in given], F.col("m.m_bitmap").alias(bitmap), F.coalesce("m.m_cut", F.lit(0)).cast("long").alias(cut), lines.cast("long").alias(total))
 
     def apply(texts, maps):
         for text, packed in zip(texts.to_pylist(), maps.to_pylist(), strict=True):
@@ -127,18 +148,20 @@ def deduped(docs: DataFrame, least_chars: int = 40, least_docs: int = 5) -> Data
 
     def kept(batches):
         for b in batches:
-            out = pa.array(apply(b.column("text"), b.column("__bitmap")), pa.string())
-            names = [*given, "__lines", "__dropped"]
-            cols = {x: b.column(x) for x in given} | {"text": out, "__lines": b.column("__lines"), "__dropped": b.column("__cut")}
-            yield pa.RecordBatch.from_arrays([cols[x] for x in names], names=names)
+            at = {n: i for i, n in enumerate(b.schema.names)}
+            cols = [b.column(at[c]) for c in [*given, total, cut]]
+            cols[given.index("text")] = pa.array(apply(b.column(at["text"]), b.column(at[bitmap])), pa.string())
+            yield pa.RecordBatch.from_arrays(cols, names=[*given, total, cut])
 
-    lines = F.char_length(text) - F.char_length(F.replace(text, F.lit("\n"))) + 1
-    both = both.select(*docs.columns, "__bitmap", F.coalesce("__cut", F.lit(0)).cast("long").alias("__cut"), lines.cast("long").alias("__lines"))
-    schema = T.StructType([*docs.schema.fields, T.StructField("__lines", T.LongType()), T.StructField("__dropped", T.LongType())])
-    return both.mapInArrow(kept, schema)
+    schema = T.StructType([*docs.schema.fields, T.StructField(total, T.LongType()), T.StructField(cut, T.LongType())])
+    out = both.mapInArrow(kept, schema)
+    if number:
+        out = out.drop("doc_id").withColumnRenamed(aside, "doc_id").select(*[c for c in given if c != aside], total, cut)
+    return out.withColumnsRenamed({total: counts[0], cut: counts[1]}) if counts else out.drop(total, cut)
 
 
 def summary(docs: DataFrame, least_chars: int = 40, least_docs: int = 5) -> DataFrame:
-    """doc_id, n_lines, n_dropped, kept_sha256 for each document."""
-    out = deduped(docs.select("doc_id", "text"), least_chars, least_docs)
-    return out.select("doc_id", F.col("__lines").alias("n_lines"), F.col("__dropped").alias("n_dropped"), F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
+    """doc_id, n_lines, n_dropped, kept_sha256 for each document; null and empty texts are one empty line, all other
+    cases as in `deduped`."""
+    out = deduped(docs.select("doc_id", "text"), least_chars, least_docs, ("n_lines", "n_dropped"))
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
