@@ -1,3 +1,5 @@
+import hashlib
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -80,3 +82,63 @@ def test_documents_of_the_mix(odd, empty):
     assert max(v for k, v in per.items() if k not in (30, None)) <= 2
     wordless = {r.doc_id for r in odd.where(F.regexp_count(F.coalesce("text", F.lit("")), F.lit(mixing.WORD)) == 0).collect()}
     assert wordless <= set(per)
+
+
+def brute_schedule(targets, block):
+    """slot, block and words of each source by a loop over the points."""
+    words = {s: round(t) for s, t in targets.items() if t > 0}
+    names, total, at, out = sorted(words, key=lambda s: (s is None, s or "")), sum(targets.values()), 0.0, {}
+    ends = []
+    for s in names:
+        at += targets[s]
+        ends.append(at / total)
+    need = {s: -(-w // block) for s, w in words.items()}
+    given, slots = dict.fromkeys(names, 0), sum(need.values())
+    for t in range(slots):
+        p = ((t + 1) * mixing.GOLDEN) % 1.0
+        s = next((n for n, e in zip(names, ends) if p < e), names[-1])
+        if given[s] < need[s]:
+            out[s, given[s]] = (t, min(block, words[s] - given[s] * block))
+            given[s] += 1
+    for s in names:
+        for b in range(given[s], need[s]):
+            out[s, b] = (slots + b, min(block, words[s] - b * block))
+    return out
+
+
+def test_slots_equal_a_loop_over_the_points(documents):
+    rows = [(r.doc_id, r.source, len(WORD.findall(r.text or ""))) for r in documents.collect()]
+    sizes = defaultdict(int)
+    for _, s, n in rows:
+        sizes[s] += n
+    plan = brute_schedule(brute_targets(sizes), 256)
+    key = lambda epoch, doc: int(hashlib.md5(f"0|{epoch}|{doc}".encode()).hexdigest()[:15], 16)
+    want = defaultdict(lambda: [0, set(), 0])
+    for source in sizes:
+        at = 0
+        for _, _, doc, n in sorted((e, key(e, d), d, n) for e in (0, 1) for d, s, n in rows if s == source and n):
+            for b in range(at // 256, (at + n - 1) // 256 + 1):
+                slot, tokens = plan.get((source, b), (None, 0))
+                took = min(at + n, b * 256 + tokens) - max(at, b * 256)
+                if took > 0:
+                    x = want[doc]
+                    x[0] += took
+                    x[1].add(slot)
+                    x[2] ^= slot * 65536 + took
+            at += n
+    got = {r.doc_id: (r.taken, r.first_slot, r.n_slots, r.slots_xor) for r in mixing.mixed(documents).collect()}
+    assert len(got) == len(rows)
+    for doc, x in got.items():
+        taken, slots, xor = want[doc]
+        assert x == (taken, min(slots, default=None), len(slots), xor)
+
+
+def test_copies_follow_their_own_plan(spark):
+    rng = random.Random(2)
+    text = lambda: " ".join(rng.choice("abcdef") for _ in range(400))
+    rows = [(1, text(), "a", i) for i in range(6)] + [(i, text(), "ab"[i % 2], 0) for i in range(10, 30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, n long")
+    plan = {r.copy: r.epochs for r in mixing.mixed(docs).where("doc_id = 1").collect()}
+    want = sorted(sum(2 * e >= 400 for e in plan[c]) for c in range(1, 7))
+    got = Counter(r.n for r in mixing.mixed_documents(docs).where("doc_id = 1").collect())
+    assert sorted([*got.values(), *[0] * (6 - len(got))]) == want

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tramline.llm.shared import checked, ranked, saved, stable_hash
+from tramline.llm.shared import checked, ranked, saved, stable_hash, unused
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Fraction of the golden ratio; slot t of the schedule lies at the point frac((t + 1) * GOLDEN).
@@ -101,24 +101,44 @@ def mix(sized: DataFrame, targets: DataFrame, block: int = 256, seed: int = 0, e
 
 
 def mixed(docs: DataFrame, block: int = 256, seed: int = 0) -> DataFrame:
-    """One row per document: doc_id, size, source_size, target, taken, and epochs (taken words by epoch)."""
+    """One row per document: doc_id, source, size, copy, source_size, target, taken, epochs (taken words by epoch), and
+    where the schedule has them: first_slot (null if nothing is taken), n_slots, slots_xor (XOR over its parts of slot
+    * 65536 + words). Null, empty and wordless texts have size 0 and take nothing; null ids and sources take part like
+    any others; rows that repeat are documents of their own, told apart by copy; no documents give no rows; a text of
+    any length counts whole and is cut into blocks; other columns, whatever their names, are left aside."""
     sized = saved(sizes(docs))
     targets = saved(source_targets(sized))
     parts = mix(sized, targets, block, seed)
-    taken = parts.groupBy("doc_id", "source", "size", "copy").agg(F.sum("tokens").alias("taken"), F.sum(F.when(F.col("epoch") == 0, F.col("tokens"))).alias("first"))
+    taken = parts.groupBy("doc_id", "source", "size", "copy").agg(
+        F.sum("tokens").alias("taken"), F.sum(F.when(F.col("epoch") == 0, F.col("tokens"))).alias("first"), F.min("slot").alias("first_slot"),
+        F.count_distinct("slot").alias("n_slots"), F.bit_xor(F.col("slot") * 65536 + F.col("tokens")).alias("slots_xor"),
+    )
     same = "s.doc_id <=> k.doc_id AND s.source <=> k.source AND s.size = k.size AND s.copy = k.copy"
     out = sized.alias("s").join(taken.alias("k"), F.expr(same), "left").join(checked(targets).alias("t"), F.expr("s.source <=> t.source"))
-    taken, first = (F.coalesce(c, F.lit(0)).cast("long") for c in ("taken", "first"))
-    return out.select(F.col("s.doc_id").alias("doc_id"), F.col("s.source").alias("source"), F.col("s.size").alias("size"), F.col("s.copy").alias("copy"), "source_size", "target", taken.alias("taken"), F.array(first, taken - first).alias("epochs"))
+    long = lambda c: F.coalesce(c, F.lit(0)).cast("long")
+    return out.select(
+        F.col("s.doc_id").alias("doc_id"), F.col("s.source").alias("source"), F.col("s.size").alias("size"), F.col("s.copy").alias("copy"), "source_size", "target", long("taken").alias("taken"),
+        F.array(long("first"), long("taken") - long("first")).alias("epochs"), F.col("first_slot").cast("long").alias("first_slot"), long("n_slots").alias("n_slots"), long("slots_xor").alias("slots_xor"),
+    )
 
 
 def mixed_documents(docs: DataFrame, block: int = 256, seed: int = 0) -> DataFrame:
     """The documents of the mix: a row for each epoch that takes at least half of a document's words, so a document
-    stays once, twice, or not at all. Documents without words stay once. Columns as given."""
-    per = mixed(docs, block, seed).where("copy = 1")
+    stays once, twice, or not at all. Documents without words stay once. Rows that agree in id, source and size are
+    numbered by a hash of all their columns, and each follows the plan of its own number. Columns as given, whatever
+    their names; other cases as in `mixed`."""
     half = lambda i: (F.element_at("epochs", i) * 2 >= F.col("size")).cast("int")
     times = F.when(F.col("size") == 0, 1).otherwise(half(1) + half(2))
-    per = per.select(F.col("doc_id").alias("__doc"), F.col("source").alias("__source"), F.col("size").alias("__size"), times.alias("__times")).where("__times > 0")
-    size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    out = docs.withColumn("__words", size).join(per, F.expr("doc_id <=> __doc AND source <=> __source AND __words = __size"))
-    return out.withColumn("__again", F.explode(F.sequence(F.lit(1), F.col("__times")))).select(*docs.columns)
+    per = saved(mixed(docs, block, seed).select(F.col("doc_id").alias("p_doc"), F.col("source").alias("p_source"), F.col("size").alias("p_size"), F.col("copy").alias("p_copy"), times.alias("p_times")))
+    size, number, again, times_ = (unused(n, docs) for n in ("words", "number", "again", "times"))
+    per = per.withColumnRenamed("p_times", times_)
+    keyed = docs.withColumn(size, F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long"))
+    same = (F.col("d.doc_id").eqNullSafe(F.col("p.p_doc"))) & F.col("d.source").eqNullSafe(F.col("p.p_source")) & (F.col(f"d.{size}") == F.col("p.p_size"))
+    several = checked(per.where("p_copy > 1").select("p_doc", "p_source", "p_size").distinct())
+    alike = Window.partitionBy("doc_id", "source", size).orderBy(F.xxhash64(*docs.columns))
+    numbered = keyed.alias("d").join(several.alias("p"), same, "left_semi").withColumn(number, F.row_number().over(alike))
+    given = [*(F.col(f"d.`{c}`") for c in docs.columns), F.col(f"p.{times_}")]
+    repeats = numbered.alias("d").join(checked(per.alias("a").join(several.alias("b"), F.expr("a.p_doc <=> b.p_doc AND a.p_source <=> b.p_source AND a.p_size = b.p_size"), "left_semi")).alias("p"), same & (F.col(f"d.{number}") == F.col("p.p_copy"))).select(*given)
+    single = per.alias("a").join(several.alias("b"), F.expr("a.p_doc <=> b.p_doc AND a.p_source <=> b.p_source AND a.p_size = b.p_size"), "left_anti").where(F.col(times_) > 0)
+    out = keyed.alias("d").join(single.alias("p"), same).select(*given).unionByName(repeats.where(F.col(times_) > 0))
+    return out.withColumn(again, F.explode(F.sequence(F.lit(1), F.col(times_)))).select(*docs.columns)

@@ -25,7 +25,7 @@ def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mixed(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+    return mixing.mixed(table(spark, sf_dir, "documents")).drop("source", "copy", "epochs")
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
