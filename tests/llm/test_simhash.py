@@ -148,7 +148,7 @@ def near_copies(n=240):
 @pytest.mark.parametrize("name", ["documents", "odd", "empty", "copies"])
 def test_similar_groups_equal_brute_force(spark, name, limit, request):
     docs = spark.createDataFrame(near_copies(), "doc_id long, text string") if name == "copies" else request.getfixturevalue(name)
-    got = Counter(rows_of(simhash.similar_groups(docs, rows=limit)))
+    got = Counter(rows_of(simhash.similar_groups(docs, rows=limit).select("doc_id", "least.doc_id")))
     assert got == brute_similar(rows_of(docs.select("doc_id", "text")))
 
 
@@ -167,7 +167,7 @@ def test_much_repeated_short_line_hides_no_copy(spark):
     for i in range(24):
         text = " ".join(f"w{rng.randrange(10**6)}" for _ in range(500))
         rows += [(2 * i, text), (2 * i + 1, text + f"\nsee note {i} on page {i + 7}" * 300)]
-    got = rows_of(simhash.similar_groups(spark.createDataFrame(rows, "doc_id long, text string")))
+    got = rows_of(simhash.similar_groups(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id", "least.doc_id"))
     assert Counter(got) == brute_similar(rows) and all(c == d - d % 2 for d, c in got)
 
 
@@ -179,3 +179,11 @@ def test_maps_bound_the_difference_of_sets():
             b = np.unique(np.concatenate([a[k:], rng.integers(0, 1 << 32, k).astype(np.uint32)]))
             x, y = simhash.parities([a.view(np.int32), b.view(np.int32)], max(len(a), len(b), 1))
             assert np.bitwise_count(x ^ y).sum() <= len(np.setxor1d(a, b))
+
+
+@pytest.mark.parametrize("one_of", [simhash.one_of_similar, simhash.one_of_each])
+def test_ids_that_repeat_lose_no_text(spark, one_of):
+    words = lambda seed: " ".join(f"{seed}{i}" for i in range(30))
+    rows = [(1, words("a"), 0), (1, words("b"), 1), (1, words("b"), 2), (2, words("b"), 3), (3, words("c"), 4), (3, words("c"), 4), (None, words("c"), 5)]
+    got = Counter((r.doc_id, r.text) for r in one_of(spark.createDataFrame(rows, "doc_id long, text string, n long")).collect())
+    assert got == Counter([(1, words("a")), (1, words("b")), (3, words("c")), (None, words("c"))])

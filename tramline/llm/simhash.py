@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tramline.llm.shared import Forest, components, saved
+from tramline.llm.shared import Forest, components, saved, unused
 
 BITS = 64
 #: Fingerprints of a tile that are compared at once.
@@ -49,14 +49,15 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """doc_id, fp for each document."""
+    """doc_id, row (a hash of the text), fp for each document."""
 
     def run(batches):
         for b in batches:
-            fps = [fingerprint(x, shingle) for x in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps, pa.int64())], names=["doc_id", "fp"])
+            fps = [fingerprint(x, shingle) for x in b.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fps, pa.int64())], names=["doc_id", "row", "fp"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, docs.select("doc_id").schema.add("fp", "long"))
+    keyed = docs.select("doc_id", F.xxhash64("text").alias("row"), "text")
+    return keyed.mapInArrow(run, docs.select("doc_id").schema.add("row", "long").add("fp", "long"))
 
 
 def parts_for(n: int) -> int:
@@ -168,59 +169,83 @@ def links(fps: DataFrame, radius: int = 2, parts: int | None = None) -> DataFram
 
 def near_duplicates(docs: DataFrame, radius: int = 2, shingle: int = 3) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id (smallest doc_id of the group, itself included) for each
-    document. Equal fingerprints are compared once. A group without any id has a null component_id."""
+    document. Equal fingerprints are compared once. A group without any id has a null component_id. Null, empty and
+    wordless texts have fingerprint zero and link like any other; rows that repeat give rows that repeat; no documents
+    give no rows; texts of any length are read whole; other columns, whatever their names, are left aside."""
+    fps, per = _groups(docs, radius, shingle)
+    out = fps.join(per.select(F.col("fp").alias("of"), F.col("least.doc_id").alias("component_id")), F.col("fp") == F.col("of"))
+    return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def _groups(docs: DataFrame, radius: int, shingle: int) -> tuple[DataFrame, DataFrame]:
+    """doc_id, row, fp of each document, and fp, least (struct of the group's smallest doc_id and row)."""
     fps = saved(fingerprints(docs, shingle))
     group = components(links(fps, radius))
-    per = fps.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    named = F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "row"))
+    per = fps.groupBy("fp").agg(F.min(named).alias("least"))
     per = per.join(group, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
     per = saved(per)
-    least = per.groupBy("component").agg(F.min("least").alias("component_id"))
-    per = per.join(least, "component").select(F.col("fp").alias("__fp"), "component_id")
-    out = fps.join(per, F.col("fp") == F.col("__fp"))
-    return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    least = per.groupBy("component").agg(F.min("least").alias("least"))
+    return fps, per.drop("least").join(least, "component").select("fp", "least")
+
+
+def _only(docs: DataFrame, kept: DataFrame) -> DataFrame:
+    """The rows of `docs` whose (doc_id, hash of the text) is in `kept`, and all without an id. Of rows that agree in
+    both, the one with the smallest hash of all its columns stays."""
+    row, whole = unused("row", docs), unused("whole", docs)
+    keyed = docs.where("doc_id IS NOT NULL").withColumns({row: F.xxhash64("text"), whole: F.xxhash64(*docs.columns)})
+    one = keyed.select(F.col("doc_id").alias("k_doc"), F.col(row).alias("k_row"), F.col(whole).alias("k_whole"))
+    one = one.join(kept.select(F.col("doc_id").alias("k_doc"), F.col("row").alias("k_row")), ["k_doc", "k_row"], "left_semi")
+    one = one.groupBy("k_doc", "k_row").agg(F.min("k_whole").alias("k_whole"))
+    a, b = keyed.alias("a"), one.alias("b")
+    same = (F.col("a.doc_id") == F.col("b.k_doc")) & (F.col(f"a.{row}") == F.col("b.k_row")) & (F.col(f"a.{whole}") == F.col("b.k_whole"))
+    named = a.join(b, same, "left_semi").dropDuplicates(["doc_id", row, whole]).drop(row, whole)
+    return named.unionByName(docs.where("doc_id IS NULL"))
 
 
 def one_of_each(docs: DataFrame, radius: int = 2, shingle: int = 3) -> DataFrame:
-    """The documents whose id is the smallest of their group, columns as given; rows that repeat an id stay once.
-    Documents without an id can't be named and stay."""
-    kept = near_duplicates(docs, radius, shingle).where("doc_id = component_id").select(F.col("doc_id").alias("__doc")).distinct()
-    named = docs.join(kept, F.col("doc_id") == F.col("__doc"), "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.where("doc_id IS NULL"))
+    """One document of each group, the smallest by (doc_id, hash of the text), columns as given, whatever their names.
+    Rows that repeat an id with other texts are documents of their own; rows that repeat id and text stay once.
+    Documents without an id can't be named and stay; null and empty texts are one group; no documents give none."""
+    _, per = _groups(docs, radius, shingle)
+    return _only(docs, per.where("least IS NOT NULL").select("least.doc_id", "least.row").distinct())
 
 
 #: Most bits of the map of a set's shingles by which pairs of a tile are ruled out.
 WIDEST = 4096
 #: Odd factors that turn a shingle's hash into the independent orders whose least members name a text's tiles.
-ORDERS = np.array([(0x9E3779B97F4A7C15 * (2 * k + 1) ^ (0xBF58476D1CE4E5B9 << k)) % (1 << 64) | 1 for k in range(4)], np.uint64)
+ORDERS = np.array([(0x9E3779B97F4A7C15 * (2 * k + 1) ^ (0xBF58476D1CE4E5B9 << k)) % (1 << 64) | 1 for k in range(8)], np.uint64)
+#: Orders of the first round; the others follow for texts that it left apart.
+FIRST = 4
 
 
 def _sketch(shingle: int, whole: bool):
-    """(doc_id, set_id, n, keys) of each text, or with `whole` (doc_id, set_id, hashes), the distinct shingles as
-    32-bit hashes. Equal set_id: the same set of shingles. Wordless texts have set_id 0 and no keys."""
+    """(doc_id, row, set_id, n, keys) of each text, or with `whole` (doc_id, row, set_id, hashes), the distinct
+    shingles as 32-bit hashes. Equal set_id: the same set of shingles. Wordless texts have set_id 0 and no keys."""
 
     def run(batches):
         for b in batches:
             out = []
-            for text in b.column(1).to_pylist():
+            for text in b.column(2).to_pylist():
                 u = np.unique(shingle_hashes(text, shingle))
                 name = xxhash.xxh64_intdigest(u.tobytes(), 1) if u.size else 0
                 mixed = u ^ (u >> np.uint64(29))
                 extra = np.unique(u.astype(np.uint32)).view(np.int32) if whole else (mixed[:, None] * ORDERS).min(0).view(np.int64) if u.size else np.zeros(0, np.int64)
                 out.append((name - (name >> 63 << 64), u.size, extra))
             ids, sizes, extras = zip(*out, strict=True) if out else ((), (), ())
-            cols = [b.column(0), pa.array(ids, pa.int64())]
+            cols = [b.column(0), b.column(1), pa.array(ids, pa.int64())]
             if whole:
-                yield pa.RecordBatch.from_arrays([*cols, pa.array(extras, pa.list_(pa.int32()))], names=["doc_id", "set_id", "hashes"])
+                yield pa.RecordBatch.from_arrays([*cols, pa.array(extras, pa.list_(pa.int32()))], names=["doc_id", "row", "set_id", "hashes"])
             else:
-                yield pa.RecordBatch.from_arrays([*cols, pa.array(sizes, pa.int64()), pa.array(extras, pa.list_(pa.int64()))], names=["doc_id", "set_id", "n", "keys"])
+                yield pa.RecordBatch.from_arrays([*cols, pa.array(sizes, pa.int64()), pa.array(extras, pa.list_(pa.int64()))], names=["doc_id", "row", "set_id", "n", "keys"])
 
     return run
 
 
 def sketches(docs: DataFrame, shingle: int, whole: bool = False) -> DataFrame:
-    schema = docs.select("doc_id").schema.add("set_id", "long")
+    schema = docs.select("doc_id", "row").schema.add("set_id", "long")
     schema = schema.add("hashes", T.ArrayType(T.IntegerType())) if whole else schema.add("n", "long").add("keys", T.ArrayType(T.LongType()))
-    return docs.select("doc_id", "text").mapInArrow(_sketch(shingle, whole), schema)
+    return docs.select("doc_id", "row", "text").mapInArrow(_sketch(shingle, whole), schema)
 
 
 def parities(sets, most: int) -> np.ndarray:
@@ -305,43 +330,73 @@ def _verified(similarity: float):
     return run
 
 
+def _tile_edges(one: DataFrame, dealt: DataFrame, keys: DataFrame, named: DataFrame, shingle: int, similarity: float, across: bool) -> DataFrame:
+    """Edges between the names of similar sets that share one of `keys` (key, blocks, rep). A key of several blocks
+    deals each member to its own block together with the key's representative, or, `across`, to all pairs of its block
+    with others, so that no task holds a whole hot tile and none is cut short."""
+    mine = dealt.join(keys, "key").withColumn("b", F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int"))
+    if across:
+        to = F.sequence(F.lit(0), F.col("blocks") - 1)
+    else:
+        to = F.when(F.col("set_id") == F.col("rep"), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array("b"))
+    mine = mine.withColumn("j", F.explode(to))
+    if across:
+        place = [F.least("b", "j").alias("a"), F.greatest("b", "j").alias("z"), (F.col("b") < F.col("j")).cast("int").alias("side")]
+    else:
+        place = [F.col("j").alias("a"), F.col("j").alias("z"), F.lit(0).alias("side")]
+    tiles = saved(mine.select("key", *place, "set_id", "name"))
+    needed = tiles.select("set_id").distinct().join(one.select("set_id", F.col("least.doc_id").alias("k_doc"), F.col("least.row").alias("k_row")), "set_id")
+    texts = named.join(needed.select("k_doc", "k_row"), (F.col("doc_id") == F.col("k_doc")) & (F.col("row") == F.col("k_row")), "left_semi")
+    sets = sketches(texts, shingle, whole=True).dropDuplicates(["set_id"]).drop("doc_id", "row")
+    full = tiles.join(sets, "set_id").select("key", "a", "z", "name", "side", "hashes")
+    return full.repartition("key", "a", "z").sortWithinPartitions("key", "a", "z").mapInArrow(_verified(similarity), "u long, v long")
+
+
 def similar_groups(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, rows: int = 2048, hashes: int = 1 << 20) -> DataFrame:
-    """doc_id, component_id for each document with an id: groups joined by pairs whose sets of shingles have a Jaccard
-    similarity of at least `similarity`.
+    """doc_id, row (hash of the text), least (struct of the smallest doc_id and row of its group) for each document
+    with an id: groups joined by pairs whose sets of shingles have a Jaccard similarity of at least `similarity`.
 
     Fingerprints of such pairs differ in far more than two bits, so tiles by population count alone would compare all
-    with all. Here a text enters one tile for each of four orders of its shingles, named by the least shingle: a pair
-    at 0.8 shares none with probability 0.2 ** 4. Tiles are split by the octave of a set's size; a set whose partners
-    may lie in the next octave enters that too, so `similarity` has to be over a half. Within a tile sizes and the XOR
-    of bit maps rule out pairs that can't be similar, and the sets decide all others. Equal sets are one member. A tile of more than `rows` members or `hashes` shingles is split into
-    blocks that meet in pairs, so no task holds a whole hot tile and none is cut short."""
-    named = docs.where("doc_id IS NOT NULL")
+    with all. Here a text enters one tile for each of eight orders of its shingles, named by the least shingle: a pair
+    at 0.8 shares none with probability 0.2 ** 8, 3 in a million. Tiles are split by the octave of a set's size; a set
+    whose partners may lie in the next octave enters that too, so `similarity` has to be over a half. Within a tile
+    sizes and the XOR of bit maps rule out pairs that can't be similar, and the sets decide all others. Equal sets are
+    one member.
+
+    Two rounds: first the tiles of FIRST orders, where a tile of more than `rows` members or `hashes` shingles is cut
+    into blocks that all hold its representative, the work on a large group of copies thus linear; then all blocks of
+    such tiles with each other and the tiles of the other orders, but only where members are still of several groups,
+    and only pairs of different ones."""
+    named = docs.where("doc_id IS NOT NULL").select("doc_id", F.xxhash64("text").alias("row"), "text")
     all_ = saved(sketches(named, shingle))
-    one = all_.groupBy("set_id").agg(F.min_by(F.struct("n", "keys"), "doc_id").alias("x"), F.min("doc_id").alias("least")).select("set_id", "least", "x.n", "x.keys")
-    one = saved(one)
+    who = F.struct("doc_id", "row")
+    one = saved(all_.groupBy("set_id").agg(F.min_by(F.struct("n", "keys"), who).alias("x"), F.min(who).alias("least")).select("set_id", "least", "x.n", "x.keys"))
     octave = lambda n: F.floor(F.log2(n)).cast("int")
     bands = F.array_distinct(F.array(octave(F.col("n")), octave(F.col("n") / F.lit(similarity * 0.9999))))
-    dealt = one.select("set_id", "least", "n", "keys", F.explode(bands).alias("band"))
-    dealt = dealt.select("set_id", "least", "n", F.explode("keys").alias("key"), "band").withColumn("key", F.xxhash64("key", "band"))
-    shared = dealt.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("w")).where("c > 1")
-    shared = shared.select("key", F.greatest(F.ceil(F.col("c") / rows), F.ceil(F.col("w") / hashes)).cast("int").alias("blocks"))
-    mine = dealt.join(shared, "key").withColumn("b", F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int"))
-    mine = mine.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    tiles = saved(mine.select("key", F.least("b", "j").alias("a"), F.greatest("b", "j").alias("z"), "set_id", (F.col("b") < F.col("j")).cast("int").alias("side"), "least"))
-    needed = tiles.select(F.col("least").alias("__doc")).distinct()
-    sets = sketches(named.join(needed, F.col("doc_id") == F.col("__doc"), "left_semi"), shingle, whole=True).dropDuplicates(["set_id"]).drop("doc_id")
-    full = tiles.join(sets, "set_id").select("key", "a", "z", "set_id", "side", "hashes")
-    edges = full.repartition("key", "a", "z").sortWithinPartitions("key", "a", "z").mapInArrow(_verified(similarity), "u long, v long")
-    group = components(edges)
-    per = saved(one.join(group, F.col("set_id") == F.col("node"), "left").select("set_id", "least", F.coalesce("component", "set_id").alias("component")))
-    least = per.groupBy("component").agg(F.min("least").alias("component_id"))
-    per = per.join(least, "component").select(F.col("set_id").alias("__set"), "component_id")
-    return all_.join(per, F.col("set_id") == F.col("__set")).select("doc_id", "component_id")
+    size = F.greatest(F.ceil(F.col("c") / rows), F.ceil(F.col("w") / hashes)).cast("int").alias("blocks")
+
+    def deal(of: DataFrame, name: str, orders) -> DataFrame:
+        out = of.select("set_id", F.col(name).alias("name"), "n", F.explode(bands).alias("band"), "keys")
+        return out.select("set_id", "name", "n", "band", F.explode(F.slice("keys", *orders)).alias("key")).withColumn("key", F.xxhash64("key", "band")).drop("band")
+
+    dealt = deal(one, "set_id", (1, FIRST))
+    keys = dealt.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("w"), F.min("set_id").alias("rep")).where("c > 1").select("key", size, "rep")
+    keys = saved(keys)
+    group = components(_tile_edges(one, dealt, keys, named, shingle, similarity, False))
+    one = saved(one.join(group, F.col("set_id") == F.col("node"), "left").select("set_id", "least", "n", "keys", F.coalesce("component", "set_id").alias("component")))
+
+    hot = deal(one, "component", (1, FIRST)).join(keys.where("blocks > 1").select("key"), "key", "left_semi")
+    rest = hot.unionByName(deal(one, "component", (FIRST + 1, len(ORDERS) - FIRST)))
+    apart = rest.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("w"), F.min("set_id").alias("rep"), F.min("name").alias("lo"), F.max("name").alias("hi"))
+    apart = saved(apart.where("lo < hi").select("key", size, "rep"))
+    group = components(_tile_edges(one, rest, apart, named, shingle, similarity, True)).withColumnRenamed("component", "wider")
+    per = one.join(group, F.col("component") == F.col("node"), "left").select("set_id", "least", F.coalesce("wider", "component").alias("last"))
+    per = saved(per)
+    least = per.groupBy("last").agg(F.min("least").alias("least"))
+    per = per.drop("least").join(least, "last").select(F.col("set_id").alias("of"), "least")
+    return all_.join(per, F.col("set_id") == F.col("of")).select("doc_id", "row", "least")
 
 
 def one_of_similar(docs: DataFrame, similarity: float = 0.8, shingle: int = 5) -> DataFrame:
-    """The documents whose id is the smallest of their group of similar texts, columns as given; rows that repeat an
-    id stay once. Documents without an id can't be named and stay."""
-    kept = similar_groups(docs, similarity, shingle).where("doc_id = component_id").select(F.col("doc_id").alias("__doc")).distinct()
-    named = docs.join(kept, F.col("doc_id") == F.col("__doc"), "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.where("doc_id IS NULL"))
+    """One document of each group of similar texts; which one stays, and all other cases, as in `one_of_each`."""
+    return _only(docs, similar_groups(docs, similarity, shingle).select("least.doc_id", "least.row").distinct())
