@@ -42,14 +42,54 @@ def test_license_notice_with_insertions(spark, empty):
 
 def test_url_rules_and_aliases(spark):
     link = '<head><link rel="canonical" href="{}"></head>'
-    rows = [(1, "https://A.example.com/en/1?x#y", None), (2, "http://b.example.com/en/77", ""), (3, "http://x.org/fr/9", link.format("https://a.example.com/en/1.html")), (4, "http://x.org/fr/10", link.format("http://x.org/fr/9/")), (5, None, link.format("http://x.org/fr/9")), (6, "no scheme", None), (7, "http://y.org/fr/1", link.format("http://b.example.com/en/77")), (8, "http://y.org/fr/1/", link.format("http://c.com/en/")), (9, "http://com.example.evil/en/1", None), (1, "https://A.example.com/en/1?x#y", None)]
-    got = {r.page_id: r for r in urls.judge(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    rows = [(1, "https://A.example.com/en/1?x#y", None), (2, "http://b.example.com/en/77", ""), (3, "http://x.org/fr/9", link.format("https://a.example.com/en/1#top")), (4, "http://x.org/fr/10", link.format("9?from=10")), (5, None, link.format("http://x.org/fr/9")), (6, "no scheme", None), (7, "http://y.org/fr/1", link.format("//b.example.com/en/77")), (8, "http://y.org/fr/2", link.format("/fr/1")), (9, "http://com.example.evil/en/1", None), (1, "https://A.example.com/en/1?x#y", None), (10, "http://y.org/fr/3", link.format("mailto:a@b") + link.format("#x"))]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r for r in urls.judge(pages).collect()}
     assert (got[1].host, got[1].path, got[1].rule, got[1].verdict) == ("a.example.com", "/en/1", "com/en/", "block")
     assert got[2].rule == "example.com/en/7" and got[2].verdict == "allow"
     assert [got[i].verdict for i in (3, 4)] == ["block", "block"] and got[4].component == got[1].component
     assert (got[5].host, got[5].path, got[5].verdict) == ("", "", "allow") and got[6].verdict == "allow"
-    assert got[7].verdict == got[8].verdict == "allow" and got[9].rule is None
-    assert urls.judge(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+    assert got[7].verdict == got[8].verdict == "allow" and got[8].component == got[2].component and got[9].rule is None
+    assert len({got[i].component for i in (9, 10)} | {got[8].component}) == 3
+    assert urls.judge(pages.limit(0)).count() == 0
+    many = [*urls.RULES, *(("block", f"host{i}.example/") for i in range(300))]
+    assert Counter(rows_of(urls.judge(pages, many))) == Counter(rows_of(urls.judge(pages)))
+    guessed = spark.createDataFrame([(1, "http://www.x.org/a.html", None), (2, "http://x.org/a/", None)], "page_id long, url string, html string")
+    assert [urls.judge(guessed, forms=f).select("component").distinct().count() for f in (False, True)] == [2, 1]
+
+
+def test_redirects_equal_a_closure(spark):
+    """Chains, stars, cycles and a very long url, against plain union-find."""
+    rng = random.Random(4)
+    hosts = [f"h{i}.example.{t}" for i in range(40) for t in ("com", "net", "fr")]
+    places = [f"{rng.choice(hosts)}/{rng.choice(['en', 'de', 'es', 'fr'])}/{rng.randrange(90)}" for _ in range(500)] + ["long.fr/" + "x" * 50_000]
+    pairs = [(a, b) for a, b in zip(places[:60], places[1:61])] + [(places[100], x) for x in places[101:140]] + [(places[200 + i], places[200 + (i + 1) % 9]) for i in range(9)]
+    pairs += [tuple(rng.sample(places, 2)) for _ in range(80)] + [("gone.fr/1", places[-1]), ("gone.fr/1", "h1.example.com/en/3")]
+    up = {p: p for p in [*places, *(x for e in pairs for x in e)]}
+
+    def root(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for a, b in pairs:
+        up[root(a)] = root(b)
+
+    def rule(place):
+        host, _, tail = place.partition("/")
+        fits = [(len(r), v) for v, r in urls.RULES if ("." + host).endswith("." + r.partition("/")[0]) and ("/" + tail).startswith("/" + r.partition("/")[2])]
+        return max(fits)[1] if fits else None
+
+    carried = {}
+    for p in up:
+        if rule(p):
+            carried[root(p)] = min(rule(p), carried.get(root(p), "block"))
+    pages = spark.createDataFrame([(i, f"http://{p}", None) for i, p in enumerate(places)], "page_id long, url string, html string")
+    edges = spark.createDataFrame([(f"http://{a}", f"https://{b}#x") for a, b in pairs], "a string, b string")
+    got = {r.page_id: r for r in urls.judge(pages, edges=edges).collect()}
+    assert {i: r.verdict for i, r in got.items()} == {i: rule(p) or carried.get(root(p), "allow") for i, p in enumerate(places)}
+    assert len({(root(p), got[i].component) for i, p in enumerate(places)}) == len({root(p) for p in places}) == len({r.component for r in got.values()})
+    assert sum(rule(p) is None and carried.get(root(p)) == "block" for p in places) > 5
 
 
 def test_warc_derivatives(spark):
