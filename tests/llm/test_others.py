@@ -109,6 +109,37 @@ def test_warc_derivatives(spark):
         assert block.decode() == got[1, h["warc-type"]].block and h["warc-refers-to"] == ids[1].record_id
 
 
+def test_warc_references_and_odd_pages(spark):
+    html = "<p>&eacute;&#8212;&#x27;&mdash;&nbsp;&unknown; &amp;lt; & &#55296; &#x1F600; AT&T;</p>"
+    long = "<p>" + "word &amp; " * 50_000 + "</p>"
+    rows = [(1, "http://e.org/", html), (1, "http://e.org/", html), (2, "", ""), (3, "http://e.org/l", long), (None, None, None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    out = warc.derive(warc.responses_of_pages(pages), keep=("page_id",)).where("warc_type = 'conversion'").collect()
+    text = Counter((r.page_id, r.block) for r in out)
+    assert text == Counter({(1, "é—'— &unknown; &lt; & &#55296; 😀 AT&T;"): 2, (2, ""): 1, (3, ("word & " * 50_000).strip()): 1, (None, ""): 1})
+    assert warc.derive(warc.responses_of_pages(pages.limit(0))).count() == 0
+
+
+def test_warc_files(spark, tmp_path):
+    """A plain and a compressed file, bytes that aren't UTF-8, other record types, and a record cut short."""
+    import gzip
+
+    def record(kind, i, body, size=None):
+        head = f"WARC/1.1\r\nWARC-Type: {kind}\r\nWARC-Record-ID: <urn:uuid:{i}>\r\nWARC-Target-URI: http://e.org/{i}\r\nWARC-Date: 2024-01-01T00:00:00Z\r\nContent-Length: {size or len(body)}\r\n\r\n"
+        return head.encode() + body + b"\r\n\r\n"
+
+    http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n\r\n"
+    raw = b"<p>caf\xe9</p>"
+    (tmp_path / "a.warc").write_bytes(record("warcinfo", 0, b"x: y\r\n") + record("response", 1, http + raw) + record("response", 2, http + b"cut", 999))
+    (tmp_path / "b.warc.gz").write_bytes(gzip.compress(record("response", 3, http + b"<p>ok</p>")))
+    src = warc.read_responses(spark, str(tmp_path))
+    got = {r.record_id: r for r in src.collect()}
+    sha = lambda b: "sha256:" + webp.hashlib.sha256(b).hexdigest()
+    assert {k[-2]: (r.truncated, r.payload_digest) for k, r in got.items()} == {"1": (False, sha(raw)), "2": (True, sha(b"cut\r\n\r\n")), "3": (False, sha(b"<p>ok</p>"))}
+    out = warc.derive(src).where("warc_type = 'metadata'").collect()
+    assert {r.refers_to[-2]: (r.status, r.source_headers, r.payload_digest) for r in out}["1"] == (200, "Content-Type: text/html", sha(raw))
+
+
 @pytest.mark.parametrize("whole", [2048, 60])
 def test_embeddings_equal_all_pairs(spark, whole):
     rng = np.random.default_rng(2)

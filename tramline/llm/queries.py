@@ -16,8 +16,7 @@ def tokenizer_path() -> str:
 
 
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = warc.derive(warc.responses_of_pages(table(spark, sf_dir, "pages")), keep=("page_id",))
-    return out.drop("block", "source_headers")
+    return warc.derive(warc.responses_of_pages(table(spark, sf_dir, "pages")), keep=("page_id",))
 
 
 def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
