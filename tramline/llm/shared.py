@@ -6,6 +6,7 @@ import string
 import tempfile
 import uuid
 from collections.abc import Sequence
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -48,7 +49,10 @@ def shared_dir(spark: SparkSession) -> str:
         return found
     if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
         raise ValueError("spark.checkpoint.dir is unset; a cluster has to name a folder that all executors share")
-    return _own.setdefault(spark.sparkContext.applicationId, tempfile.mkdtemp(prefix="tramline-"))
+    app = spark.sparkContext.applicationId
+    if app not in _own:
+        _own[app] = tempfile.mkdtemp(prefix="tramline-")
+    return _own[app]
 
 
 def saved(df: DataFrame) -> DataFrame:
@@ -58,9 +62,28 @@ def saved(df: DataFrame) -> DataFrame:
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._saved_at = path
+    for run in _scratch:
+        run.append(out)
     return out
 
 
+_scratch: list[list[DataFrame]] = []
+
+
+@contextmanager
+def scratch(keep: list[DataFrame]):
+    """Frees every table that saved() writes inside the block, when it ends, but those put into `keep`."""
+    made: list[DataFrame] = []
+    _scratch.append(made)
+    try:
+        yield
+    finally:
+        _scratch.remove(made)
+        for df in made:
+            if not any(df is k for k in keep):
+                drop_saved(df)
+
+
 def drop_saved(df: DataFrame) -> None:
     """Frees the table behind a frame from saved() that no later plan reads."""
     spark = df.sparkSession

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tramline.llm.shared import Forest, components, saved, unused
+from tramline.llm.shared import Forest, components, drop_saved, saved, unused
 
 BITS = 64
 #: Fingerprints of a tile that are compared at once.
@@ -330,8 +330,8 @@ def _verified(similarity: float):
     return run
 
 
-def _tile_edges(one: DataFrame, dealt: DataFrame, keys: DataFrame, named: DataFrame, shingle: int, similarity: float, across: bool) -> DataFrame:
-    """Edges between the names of similar sets that share one of `keys` (key, blocks, rep). A key of several blocks
+def _tile_groups(one: DataFrame, dealt: DataFrame, keys: DataFrame, named: DataFrame, shingle: int, similarity: float, across: bool) -> DataFrame:
+    """Groups of the names of similar sets that share one of `keys` (key, blocks, rep). A key of several blocks
     deals each member to its own block together with the key's representative, or, `across`, to all pairs of its block
     with others, so that no task holds a whole hot tile and none is cut short."""
     mine = dealt.join(keys, "key").withColumn("b", F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int"))
@@ -349,7 +349,9 @@ def _tile_edges(one: DataFrame, dealt: DataFrame, keys: DataFrame, named: DataFr
     texts = named.join(needed.select("k_doc", "k_row"), (F.col("doc_id") == F.col("k_doc")) & (F.col("row") == F.col("k_row")), "left_semi")
     sets = sketches(texts, shingle, whole=True).dropDuplicates(["set_id"]).drop("doc_id", "row")
     full = tiles.join(sets, "set_id").select("key", "a", "z", "name", "side", "hashes")
-    return full.repartition("key", "a", "z").sortWithinPartitions("key", "a", "z").mapInArrow(_verified(similarity), "u long, v long")
+    group = components(full.repartition("key", "a", "z").sortWithinPartitions("key", "a", "z").mapInArrow(_verified(similarity), "u long, v long"))
+    drop_saved(tiles)
+    return group
 
 
 def similar_groups(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, rows: int = 2048, hashes: int = 1 << 20) -> DataFrame:
@@ -382,14 +384,14 @@ def similar_groups(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, r
     dealt = deal(one, "set_id", (1, FIRST))
     keys = dealt.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("w"), F.min("set_id").alias("rep")).where("c > 1").select("key", size, "rep")
     keys = saved(keys)
-    group = components(_tile_edges(one, dealt, keys, named, shingle, similarity, False))
+    group = _tile_groups(one, dealt, keys, named, shingle, similarity, False)
     one = saved(one.join(group, F.col("set_id") == F.col("node"), "left").select("set_id", "least", "n", "keys", F.coalesce("component", "set_id").alias("component")))
 
     hot = deal(one, "component", (1, FIRST)).join(keys.where("blocks > 1").select("key"), "key", "left_semi")
     rest = hot.unionByName(deal(one, "component", (FIRST + 1, len(ORDERS) - FIRST)))
     apart = rest.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("w"), F.min("set_id").alias("rep"), F.min("name").alias("lo"), F.max("name").alias("hi"))
     apart = saved(apart.where("lo < hi").select("key", size, "rep"))
-    group = components(_tile_edges(one, rest, apart, named, shingle, similarity, True)).withColumnRenamed("component", "wider")
+    group = _tile_groups(one, rest, apart, named, shingle, similarity, True).withColumnRenamed("component", "wider")
     per = one.join(group, F.col("component") == F.col("node"), "left").select("set_id", "least", F.coalesce("wider", "component").alias("last"))
     per = saved(per)
     least = per.groupBy("last").agg(F.min("least").alias("least"))

@@ -60,7 +60,7 @@ class Machine:
         self.rank, self.b, self.at, self.w, self.v = rank, -2.0, {}, np.zeros(0), np.zeros((0, rank))
 
     def raw(self, text: str | None) -> float:
-        at = [self.at[i] for i in buckets(text).tolist() if i in self.at]
+        at = sorted(map(self.at.__getitem__, {t % BUCKETS for t in terms(text)} & self.at.keys()))
         v = self.v[at]
         s = v.sum(0)
         return float(self.b + self.w[at].sum() + 0.5 * ((s * s).sum() - (v * v).sum()))
