@@ -76,11 +76,16 @@ class Machine:
         divided by its number of terms, so that no long text is learnt by heart. The state with the least loss on a
         tenth of the rows, which no step sees, is kept, and `patience` epochs without a better one end the fit."""
         rng, y, rank = np.random.default_rng(seed), np.asarray(y, float), self.rank
-        used, flat = np.unique(np.concatenate([np.zeros(0, np.int64), *rows]), return_inverse=True)
         ptr = np.r_[0, np.cumsum([len(r) for r in rows])].astype(np.int64)
+        flat = np.concatenate([np.zeros(0, np.int32), *rows]).astype(np.int32, copy=False)
+        counts = np.bincount(flat, minlength=BUCKETS)
+        used = np.flatnonzero(counts)
+        number = np.zeros(BUCKETS, np.int32)
+        number[used] = np.arange(len(used))
+        number.take(flat, out=flat, mode="clip")
         perm = rng.permutation(len(rows))
         check, train = np.split(perm, [len(rows) // 10])
-        pairs = np.flatnonzero(np.bincount(flat, minlength=len(used)) >= PAIRS_FROM)
+        pairs = np.flatnonzero(counts[used] >= PAIRS_FROM)
         place = np.full(len(used), -1)
         place[pairs] = np.arange(len(pairs))
         l1, l2, beta, decay = max(1.0, min(10.0, len(rows) / 400)), 1.0, 1.0, 0.01
@@ -143,7 +148,7 @@ def train(docs: DataFrame, labels: DataFrame, most_rows: int = MOST_ROWS, rank:
         for b in batches:
             yield pa.RecordBatch.from_arrays([pa.array([buckets(t).tobytes() for t in b.column(0).to_pylist()], pa.binary()), b.column(1).cast(pa.int32())], names=["rows", "toxic"])
 
-    got = sorted((bytes(r.rows), r.toxic) for r in labelled(docs, labels, most_rows).mapInArrow(hashed, "rows binary, toxic int").collect())
+    got = sorted((r.rows, r.toxic) for r in labelled(docs, labels, most_rows).mapInArrow(hashed, "rows binary, toxic int").collect())
     model = Machine(rank)
     if got:
         model.fit([np.frombuffer(r, "<i4") for r, _ in got], [y for _, y in got])
