@@ -7,27 +7,16 @@ from pyspark.sql import functions as F
 
 from tramline.functions import columns as C
 from tramline.operators import relational as R
+from tramline.registry import ORACLES, QUERIES, query  # noqa: F401
 from tramline.sources.tables import arrivals, calls, pings, table
 from tramline.streaming import health
 
-QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
 _ARR = "a AS (SELECT event_id, ts, user_id % 20 AS line, event_type AS stop, CASE WHEN user_id % 2 = 0 THEN 'bus' ELSE 'tram' END AS mode, user_id AS vehicle, ts::DATE AS service_date, hour(ts) AS hour, round(value * 6 - 150)::INT AS delay FROM events)"
 _PING = "p AS (SELECT event_id, user_id AS vehicle, CASE WHEN user_id % 2 = 0 THEN 'bus' ELSE 'tram' END AS mode, ts AS gps_time, ts + to_seconds(event_id) AS ingested_at, 52.0 + value / 1000 AS lat, 21.0 + value / 2000 AS lon FROM events)"
 _CALL = "c AS (SELECT trip, seq, stop, ride, actual FROM (SELECT l_orderkey AS trip, l_linenumber AS seq, l_suppkey AS stop, l_quantity AS ride, l_shipdate AS actual, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_suppkey, l_partkey, l_extendedprice, l_discount, l_tax, l_quantity, l_shipdate) AS n FROM lineitem) WHERE n = 1)"
 _BLOCK = "count(delay) AS arrivals, avg(delay) AS mean_delay, quantile_cont(delay, 0.5) AS median_delay, quantile_cont(delay, 0.9) AS p90_delay, count(*) FILTER (delay <= -60) AS early_count, count(*) FILTER (delay > -60 AND delay < 180) AS on_time_count, count(*) FILTER (delay >= 180) AS late_count, count(*) FILTER (delay <= -60) / count(delay)::DOUBLE AS early_rate, count(*) FILTER (delay > -60 AND delay < 180) / count(delay)::DOUBLE AS on_time_rate, count(*) FILTER (delay >= 180) / count(delay)::DOUBLE AS late_rate"
 
 
-def query(sql: str | None = None):
-    def add(f):
-        QUERIES[f.__name__] = f
-        if sql:
-            ORACLES[f.__name__] = sql
-        return f
-
-    return add
-
-
 @query(f"WITH {_ARR} SELECT service_date, mode, {_BLOCK} FROM a GROUP BY 1, 2")
 def delay_summary_daily(spark, d):
     return arrivals(spark, d).groupBy("service_date", "mode").agg(*C.delay_block(F.col("delay")))
@@ -328,3 +317,6 @@ def live_persistence(spark, d):
     w = Window.partitionBy("line", "service_date").orderBy("ts", "event_id")
     u = arrivals(spark, d).withColumns({f"a{k}": F.lead("delay", k).over(w) for k in (1, 2)}).select("delay", F.inline(F.array(*[F.struct(F.lit(k).alias("horizon"), F.col(f"a{k}").alias("later")) for k in (1, 2)])))
     return u.where("later IS NOT NULL").groupBy("horizon").agg(F.count(F.lit(1)).alias("pairs"), F.round(F.regr_slope("later", "delay"), 6).alias("alpha"), F.percentile(F.col("later") - F.col("delay"), 0.9).alias("p90_change"))
+
+
+from tramline import queries_schedule  # noqa: E402, F401
