@@ -8,6 +8,7 @@ from tramline.plans import facts as X
 from tramline.plans import schedule as S
 from tramline.queries_schedule import _f, _history, at, local, start_of
 from tramline.registry import PARTS, query
+from tramline.sources.published import published
 
 #: The instant at which coverage is looked at.
 NOW = 1713600000
@@ -48,44 +49,61 @@ PARTS |= {
 }
 
 
+def history(spark, d):
+    return published(spark, d, "history", lambda: _history(spark, d).drop("stops"))
+
+
 def versions(spark, d):
-    return S.schedule_versions(S.fingerprints(_history(spark, d)))
+    return published(spark, d, "versions", lambda: S.schedule_versions(S.fingerprints(history(spark, d))))
+
+
+def trip_table(spark, d):
+    return published(spark, d, "fct_trip", lambda: X.trips(_f(spark, d), history(spark, d), versions(spark, d)))
+
+
+def arrival_table(spark, d):
+    return published(spark, d, "fct_stop_arrival", lambda: X.arrivals(_f(spark, d), trip_table(spark, d)))
+
+
+def event_table(spark, d):
+    return published(spark, d, "fct_expected_stop_event", lambda: X.expected_events(_f(spark, d), trip_table(spark, d), arrival_table(spark, d)))
 
 
 @query("SELECT * FROM o_trip")
 def fct_trip(spark, d):
-    return X.trips(_f(spark, d), _history(spark, d), versions(spark, d))
+    return X.trips(_f(spark, d), history(spark, d), versions(spark, d))
 
 
 @query("SELECT * FROM o_arrival")
 def fct_stop_arrival(spark, d):
-    return X.arrivals(_f(spark, d), fct_trip(spark, d))
+    return X.arrivals(_f(spark, d), trip_table(spark, d))
 
 
 @query("SELECT * FROM o_event")
 def fct_expected_stop_event(spark, d):
-    t = fct_trip(spark, d)
-    return X.expected_events(_f(spark, d), t, X.arrivals(_f(spark, d), t))
+    return X.expected_events(_f(spark, d), trip_table(spark, d), arrival_table(spark, d))
 
 
 @query("SELECT * FROM o_coverage")
 def service_coverage(spark, d):
     modes = S.routes(_f(spark, d)).select(S.SNAP, F.col("route_id").alias("line"), "mode")
-    return X.coverage(_history(spark, d), modes, versions(spark, d), fct_trip(spark, d), NOW)
+    return X.coverage(history(spark, d), modes, versions(spark, d), trip_table(spark, d), NOW)
 
 
 @query("SELECT * FROM o_execution")
 def serving_trip_execution(spark, d):
-    return X.executions(fct_trip(spark, d))
+    return X.executions(trip_table(spark, d))
+
+
+def execution_table(spark, d):
+    return published(spark, d, "trip_execution", lambda: X.executions(trip_table(spark, d)))
 
 
 @query("SELECT * FROM o_serving")
 def serving_stop_arrival(spark, d):
-    t = fct_trip(spark, d)
-    return X.serving_arrivals(X.arrivals(_f(spark, d), t), X.executions(t))
+    return X.serving_arrivals(arrival_table(spark, d), execution_table(spark, d))
 
 
 @query("SELECT * FROM o_pattern")
 def trip_route_pattern(spark, d):
-    t = fct_trip(spark, d)
-    return X.route_patterns(X.executions(t), X.expected_events(_f(spark, d), t, X.arrivals(_f(spark, d), t))).drop("calls")
+    return X.route_patterns(execution_table(spark, d), event_table(spark, d)).drop("calls")

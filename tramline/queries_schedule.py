@@ -74,7 +74,7 @@ PARTS |= {
     "o_group_states": """SELECT s.stop_group_id, s.gtfs_snapshot_id, string_agg(DISTINCT s.stop_name, ' | ' ORDER BY s.stop_name) AS stop_group_names, string_agg(DISTINCT zone_id, ' | ' ORDER BY zone_id) AS zone_ids, string_agg(DISTINCT effective_zone_id, ' | ' ORDER BY effective_zone_id) AS effective_zone_ids, string_agg(DISTINCT town_name, ' | ' ORDER BY town_name) AS town_names,
   round(avg(stop_lat), 6) AS centroid_lat, round(avg(stop_lon), 6) AS centroid_lon, count(*) AS stop_post_count, min(n.stop_name) AS stop_group_name FROM o_stops s JOIN (SELECT stop_group_id, gtfs_snapshot_id, stop_name, row_number() OVER (PARTITION BY stop_group_id, gtfs_snapshot_id ORDER BY count(*) DESC, stop_name) AS r FROM o_stops GROUP BY 1, 2, 3) n ON n.r = 1 AND n.stop_group_id = s.stop_group_id AND n.gtfs_snapshot_id = s.gtfs_snapshot_id GROUP BY 1, 2""",
     "o_profile": """SELECT h.service_date, h.processing_date, h.gtfs_snapshot_id, h.trip_id, h.line, r.mode, h.direction_id, h.schedule_day_type, h.is_public_service_segment, z.origin_stop_id, z.destination_stop_id, h.stop_count, z.ordered_stop_ids, z.non_zone1_stop_count, z.zone_ids FROM o_history h JOIN o_routes r ON r.gtfs_snapshot_id = h.gtfs_snapshot_id AND r.route_id = h.line AND r.mode IN ('bus', 'tram')
-  JOIN (SELECT t.gtfs_snapshot_id, t.trip_id, arg_min(t.stop_id, stop_sequence) AS origin_stop_id, arg_max(t.stop_id, stop_sequence) AS destination_stop_id, string_agg(t.stop_id, '|' ORDER BY stop_sequence) AS ordered_stop_ids, count(*) FILTER (coalesce(effective_zone_id, '') <> '1') AS non_zone1_stop_count, list_sort(list(DISTINCT coalesce(effective_zone_id, ''))) AS zone_ids
+  JOIN (SELECT t.gtfs_snapshot_id, t.trip_id, arg_min(t.stop_id, stop_sequence) AS origin_stop_id, arg_max(t.stop_id, stop_sequence) AS destination_stop_id, string_agg(t.stop_id, '|' ORDER BY stop_sequence) AS ordered_stop_ids, count(*) FILTER (coalesce(effective_zone_id, '') <> '1') AS non_zone1_stop_count, string_agg(DISTINCT coalesce(effective_zone_id, ''), ',' ORDER BY coalesce(effective_zone_id, '')) AS zone_ids
     FROM o_times t LEFT JOIN o_stops s ON s.gtfs_snapshot_id = t.gtfs_snapshot_id AND s.stop_id = t.stop_id GROUP BY 1, 2) z ON z.gtfs_snapshot_id = h.gtfs_snapshot_id AND z.trip_id = h.trip_id""",
     "o_lists": "SELECT DISTINCT processing_date, gtfs_snapshot_id, line, direction_id, schedule_day_type, stop_count, ordered_stop_ids FROM o_profile WHERE is_public_service_segment",
     "o_inner": "SELECT DISTINCT p.processing_date, p.gtfs_snapshot_id, p.line, p.direction_id, p.schedule_day_type, p.ordered_stop_ids FROM o_profile p WHERE EXISTS (SELECT 1 FROM o_lists l WHERE l.processing_date = p.processing_date AND l.gtfs_snapshot_id = p.gtfs_snapshot_id AND l.line = p.line AND l.direction_id = p.direction_id AND l.schedule_day_type = p.schedule_day_type AND l.stop_count > p.stop_count AND strpos('|' || l.ordered_stop_ids || '|', '|' || p.ordered_stop_ids || '|') > 0)",
@@ -131,9 +131,10 @@ def snapshot_pruning(spark, d):
     return S.of_snapshots(S.stop_times(_f(spark, d)), [ONE]).select("trip_id", "stop_sequence", "stop_service_class")
 
 
-@query("SELECT gtfs_snapshot_id, shape_id, list(lat ORDER BY seq) AS lat, list(lon ORDER BY seq) AS lon, count(*)::INT AS points FROM o_shapes GROUP BY 1, 2")
+@query("SELECT gtfs_snapshot_id, shape_id, string_agg(lat::VARCHAR, ',' ORDER BY seq) AS lat, string_agg(lon::VARCHAR, ',' ORDER BY seq) AS lon, count(*)::INT AS points FROM o_shapes GROUP BY 1, 2")
 def shape_polylines(spark, d):
-    return S.polylines(_f(spark, d))
+    text = lambda c: F.array_join(F.transform(c, lambda x: x.cast("string")), ",").alias(c)
+    return S.polylines(_f(spark, d)).select(S.SNAP, "shape_id", text("lat"), text("lon"), "points")
 
 
 @query("SELECT geometry, min(gtfs_snapshot_id || '/' || shape_id) AS canonical, count(*) AS copies FROM (SELECT gtfs_snapshot_id, shape_id, md5(string_agg(lat::VARCHAR || ',' || lon::VARCHAR, ';' ORDER BY seq)) AS geometry FROM o_shapes GROUP BY 1, 2) x GROUP BY 1")
@@ -268,9 +269,9 @@ def dim_schedule_date(spark, d):
 
 @query("SELECT * FROM o_profile")
 def trip_stop_profile(spark, d):
-    return S.stop_profiles(_f(spark, d), _history(spark, d))
+    return S.stop_profiles(_f(spark, d), _history(spark, d)).withColumn("zone_ids", F.array_join("zone_ids", ","))
 
 
 @query("SELECT * FROM o_universe")
 def trip_universe(spark, d):
-    return S.trip_universe(S.stop_profiles(_f(spark, d), _history(spark, d)))
+    return S.trip_universe(S.stop_profiles(_f(spark, d), _history(spark, d))).withColumn("zone_ids", F.array_join("zone_ids", ","))
