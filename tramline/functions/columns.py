@@ -8,14 +8,28 @@ from pyspark.sql import functions as F
 #: A delay at or under EARLY is early, one from LATE on is late (seconds).
 EARLY, LATE = -60, 180
 EARTH_M = 6_371_000.0
-#: Upper bounds of the histogram's buckets, in seconds; the last bucket is open.
-EDGES = (-300, -180, -60, 0, 60, 120, 180, 300, 600, 900, 1200)
+#: The twelve buckets of a delay in whole seconds, from and to, both included; null has no end.
+BUCKETS = (
+    ("early_over_5m", None, -301),
+    ("early_2_to_5m", -300, -121),
+    ("early_1_to_2m", -120, -60),
+    ("on_time_early_30_60s", -59, -31),
+    ("on_time_early_0_30s", -30, -1),
+    ("on_time_late_0_30s", 0, 30),
+    ("on_time_late_30_60s", 31, 60),
+    ("on_time_late_1_to_3m", 61, 179),
+    ("late_3_to_5m", 180, 300),
+    ("late_5_to_10m", 301, 600),
+    ("late_10_to_20m", 601, 1200),
+    ("late_over_20m", 1201, None),
+)
 
 
 def delay_block(delay: Column) -> list[Column]:
-    """Arrivals, mean, median, 90th percentile, and counts and rates of early, on-time and late ones."""
+    """Arrivals, mean, median, 90th percentile, and counts and rates of early, on-time and late ones. Rows without a
+    delay are arrivals too: counts and rates are of all rows."""
     early, late = F.count_if(delay <= EARLY), F.count_if(delay >= LATE)
-    on_time, n = F.count_if((delay > EARLY) & (delay < LATE)), F.count(delay)
+    on_time, n = F.count_if((delay > EARLY) & (delay < LATE)), F.count(F.lit(1))
     rate = lambda c: F.try_divide(c.cast("double"), n.cast("double"))
     return [
         n.alias("arrivals"), F.avg(delay).alias("mean_delay"), F.percentile(delay, 0.5).alias("median_delay"), F.percentile(delay, 0.9).alias("p90_delay"),
@@ -23,12 +37,11 @@ def delay_block(delay: Column) -> list[Column]:
     ]
 
 
-def histogram_bucket(delay: Column, edges=EDGES) -> Column:
-    """The place of the first bound that the delay doesn't exceed; past all: their number."""
-    out = F.lit(len(edges))
-    for i in range(len(edges) - 1, -1, -1):
-        out = F.when(delay <= edges[i], F.lit(i)).otherwise(out)
-    return F.when(delay.isNotNull(), out)
+def delay_histogram(delay: Column) -> Column:
+    """An array of structs (bucket_label, min_delay_seconds, max_delay_seconds, n), one for each bucket, in order."""
+    whole = lambda x: F.lit(x).cast("long")
+    inside = lambda lo, hi: (F.lit(True) if lo is None else delay >= lo) & (F.lit(True) if hi is None else delay <= hi)
+    return F.array(*[F.struct(F.lit(n).alias("bucket_label"), whole(lo).alias("min_delay_seconds"), whole(hi).alias("max_delay_seconds"), F.count_if(inside(lo, hi)).alias("n")) for n, lo, hi in BUCKETS])
 
 
 def haversine(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
@@ -39,9 +52,11 @@ def haversine(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
 
 
 def gtfs_seconds(text: Column) -> Column:
-    """HH:MM:SS with any number of hours to seconds; null if it isn't such a time."""
-    part = [F.try_element_at(F.split(text, ":"), F.lit(i)).try_cast("int") for i in (1, 2, 3)]
-    return F.when(text.rlike(r"^\d{1,3}:[0-5]\d:[0-5]\d$"), part[0] * 3600 + part[1] * 60 + part[2])
+    """HH:MM:SS with any number of hours to seconds; null if it isn't such a time. Minutes and seconds are cut from the
+    end, so that the text is matched once and split never."""
+    part = lambda start, n: F.substring(text, start, n).try_cast("int")
+    hours = F.substring_index(text, ":", 1).try_cast("int")
+    return F.when(text.rlike(r"^\d+:[0-5]\d:[0-5]\d$"), hours * 3600 + part(-5, 2) * 60 + part(-2, 2))
 
 
 def scheduled_time(service_date: Column, seconds: Column, zone: str = "Europe/Warsaw") -> Column:
@@ -69,9 +84,5 @@ def easter(year: Column) -> Column:
     return F.make_date(year.cast("int"), div(day, 31), mod(day, 31) + 1)
 
 
-def status_of(delay: Column) -> Column:
-    return F.when(delay <= EARLY, "early").when(delay >= LATE, "late").when(delay.isNotNull(), "on_time").otherwise("unknown")
-
-
 def day_type(date: Column) -> Column:
     return F.when(F.dayofweek(date).isin(1, 7), "weekend").otherwise("weekdays")

@@ -11,10 +11,10 @@ from tramline.registry import ORACLES, QUERIES, query  # noqa: F401
 from tramline.sources.tables import arrivals, calls, pings, table
 from tramline.streaming import health
 
-_ARR = "a AS (SELECT event_id, ts, user_id % 20 AS line, event_type AS stop, CASE WHEN user_id % 2 = 0 THEN 'bus' ELSE 'tram' END AS mode, user_id AS vehicle, ts::DATE AS service_date, hour(ts) AS hour, round(value * 6 - 150)::INT AS delay FROM events)"
+_ARR = "a AS (SELECT event_id, ts, user_id % 20 AS line, event_type AS stop, CASE WHEN user_id % 2 = 0 THEN 'bus' ELSE 'tram' END AS mode, user_id AS vehicle, ts::DATE AS service_date, hour(ts) AS hour, CASE WHEN event_id % 50 <> 7 THEN round(value * 6 - 150)::INT END AS delay FROM events)"
 _PING = "p AS (SELECT event_id, user_id AS vehicle, CASE WHEN user_id % 2 = 0 THEN 'bus' ELSE 'tram' END AS mode, ts AS gps_time, ts + to_seconds(event_id) AS ingested_at, 52.0 + value / 1000 AS lat, 21.0 + value / 2000 AS lon FROM events)"
 _CALL = "c AS (SELECT trip, seq, stop, ride, actual FROM (SELECT l_orderkey AS trip, l_linenumber AS seq, l_suppkey AS stop, l_quantity AS ride, l_shipdate AS actual, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_suppkey, l_partkey, l_extendedprice, l_discount, l_tax, l_quantity, l_shipdate) AS n FROM lineitem) WHERE n = 1)"
-_BLOCK = "count(delay) AS arrivals, avg(delay) AS mean_delay, quantile_cont(delay, 0.5) AS median_delay, quantile_cont(delay, 0.9) AS p90_delay, count(*) FILTER (delay <= -60) AS early_count, count(*) FILTER (delay > -60 AND delay < 180) AS on_time_count, count(*) FILTER (delay >= 180) AS late_count, count(*) FILTER (delay <= -60) / count(delay)::DOUBLE AS early_rate, count(*) FILTER (delay > -60 AND delay < 180) / count(delay)::DOUBLE AS on_time_rate, count(*) FILTER (delay >= 180) / count(delay)::DOUBLE AS late_rate"
+_BLOCK = "count(*) AS arrivals, avg(delay) AS mean_delay, quantile_cont(delay, 0.5) AS median_delay, quantile_cont(delay, 0.9) AS p90_delay, count(*) FILTER (delay <= -60) AS early_count, count(*) FILTER (delay > -60 AND delay < 180) AS on_time_count, count(*) FILTER (delay >= 180) AS late_count, count(*) FILTER (delay <= -60) / count(*)::DOUBLE AS early_rate, count(*) FILTER (delay > -60 AND delay < 180) / count(*)::DOUBLE AS on_time_rate, count(*) FILTER (delay >= 180) / count(*)::DOUBLE AS late_rate"
 
 
 @query(f"WITH {_ARR} SELECT service_date, mode, {_BLOCK} FROM a GROUP BY 1, 2")
@@ -22,9 +22,10 @@ def delay_summary_daily(spark, d):
     return arrivals(spark, d).groupBy("service_date", "mode").agg(*C.delay_block(F.col("delay")))
 
 
-@query(f"WITH {_ARR} SELECT mode, bucket, count(*) AS n FROM (SELECT mode, CASE {' '.join(f'WHEN delay <= {e} THEN {i}' for i, e in enumerate(C.EDGES))} ELSE {len(C.EDGES)} END AS bucket FROM a) GROUP BY 1, 2")
+
+@query(f"WITH {_ARR} SELECT mode, bucket_label, n FROM (SELECT mode, unnest(['early_over_5m', 'early_2_to_5m', 'early_1_to_2m', 'on_time_early_30_60s', 'on_time_early_0_30s', 'on_time_late_0_30s', 'on_time_late_30_60s', 'on_time_late_1_to_3m', 'late_3_to_5m', 'late_5_to_10m', 'late_10_to_20m', 'late_over_20m']) AS bucket_label, unnest([count(*) FILTER (delay < -300), count(*) FILTER (delay BETWEEN -300 AND -121), count(*) FILTER (delay BETWEEN -120 AND -60), count(*) FILTER (delay BETWEEN -59 AND -31), count(*) FILTER (delay BETWEEN -30 AND -1), count(*) FILTER (delay BETWEEN 0 AND 30), count(*) FILTER (delay BETWEEN 31 AND 60), count(*) FILTER (delay BETWEEN 61 AND 179), count(*) FILTER (delay BETWEEN 180 AND 300), count(*) FILTER (delay BETWEEN 301 AND 600), count(*) FILTER (delay BETWEEN 601 AND 1200), count(*) FILTER (delay > 1200)]) AS n FROM a GROUP BY 1)")
 def delay_histogram(spark, d):
-    return arrivals(spark, d).groupBy("mode", C.histogram_bucket(F.col("delay")).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+    return arrivals(spark, d).groupBy("mode").agg(C.delay_histogram(F.col("delay")).alias("h")).select("mode", F.inline("h")).select("mode", "bucket_label", "n")
 
 
 @query(f"WITH {_PING} SELECT vehicle, bucket, event_id FROM (SELECT vehicle, floor(epoch(gps_time))::BIGINT // 36000 AS bucket, event_id, row_number() OVER (PARTITION BY vehicle, floor(epoch(gps_time))::BIGINT // 36000 ORDER BY ingested_at DESC, event_id DESC) AS n FROM p) WHERE n = 1")
@@ -72,19 +73,6 @@ def entity_fan_out(spark, d):
     return a.groupBy("entity_type", "entity_id").agg(*C.delay_block(F.col("delay")))
 
 
-@query(f"WITH {_ARR} SELECT mode, event_id, delay, position FROM (SELECT *, row_number() OVER (PARTITION BY mode ORDER BY delay DESC, event_id) AS position FROM a) WHERE position <= 20")
-def worst_delay_events(spark, d):
-    return R.top_k(arrivals(spark, d), ["mode"], [F.desc("delay"), F.asc("event_id")], 20).select("mode", "event_id", "delay", "position")
-
-
-@query(f"WITH {_ARR}, o AS (SELECT DISTINCT service_date, CASE WHEN dayofweek(service_date) IN (0, 6) THEN 'weekend' ELSE 'weekdays' END AS day_type FROM a), r AS (SELECT *, row_number() OVER (PARTITION BY day_type ORDER BY service_date DESC) AS n, max(service_date) OVER () AS last FROM o) SELECT 'day' AS window_type, service_date FROM r WHERE service_date = last UNION ALL SELECT 'month', service_date FROM r WHERE date_trunc('month', service_date) = date_trunc('month', last) UNION ALL SELECT day_type, service_date FROM r WHERE n <= 8")
-def window_membership(spark, d):
-    o = arrivals(spark, d).select("service_date").distinct().withColumn("day_type", C.day_type(F.col("service_date")))
-    last = F.broadcast(o.agg(F.max("service_date").alias("last")))
-    r = R.top_k(o, ["day_type"], [F.desc("service_date")], 1 << 30, "n").join(last, how="cross")
-    kinds = F.array(F.when(F.col("service_date") == F.col("last"), "day"), F.when(F.trunc("service_date", "month") == F.trunc("last", "month"), "month"), F.when(F.col("n") <= 8, F.col("day_type")))
-    return r.select(F.explode(F.array_compact(kinds)).alias("window_type"), "service_date")
-
 
 @query(f"WITH {_ARR}, o AS (SELECT DISTINCT service_date FROM a) SELECT service_date, lag(service_date) OVER (ORDER BY service_date) AS previous, lead(service_date) OVER (ORDER BY service_date) AS next, row_number() OVER (ORDER BY service_date DESC) AS recency FROM o")
 def serving_dates(spark, d):
@@ -101,20 +89,6 @@ def hour_window(spark, d):
     return out.select("mode", "hour", ((F.col("hour") + 20) % 24).alias("service_hour"), "n", F.when(F.col("n") >= 3, F.col("median_delay")).alias("median_delay"))
 
 
-@query(f"WITH {_ARR}, g AS (SELECT line, avg(delay) AS mean_delay, count(*)::DOUBLE AS volume, quantile_cont(delay, 0.9) AS p90 FROM a GROUP BY 1 HAVING count(*) >= 20), u AS (SELECT line, 'mean_delay' AS metric, mean_delay AS metric_value FROM g UNION ALL SELECT line, 'volume', volume FROM g UNION ALL SELECT line, 'p90', p90 FROM g) SELECT line, metric, metric_value, row_number() OVER (PARTITION BY metric ORDER BY metric_value DESC, line) AS position, count(*) OVER (PARTITION BY metric) AS n_entities FROM u")
-def entity_rankings(spark, d):
-    g = arrivals(spark, d).groupBy("line").agg(F.avg("delay").alias("mean_delay"), F.count(F.lit(1)).cast("double").alias("volume"), F.percentile("delay", 0.9).alias("p90")).where("volume >= 20")
-    u = g.unpivot("line", ["mean_delay", "volume", "p90"], "metric", "metric_value")
-    return u.select("*", F.row_number().over(Window.partitionBy("metric").orderBy(F.desc("metric_value"), "line")).alias("position"), F.count(F.lit(1)).over(Window.partitionBy("metric")).alias("n_entities"))
-
-
-@query("WITH t AS (SELECT o_custkey % 50 AS line, date_trunc('month', o_orderdate)::DATE AS month, o_orderkey, CASE o_orderstatus WHEN 'F' THEN 'complete' WHEN 'O' THEN 'partial' ELSE 'broken' END AS quality FROM orders) SELECT line, month, count(*) FILTER (quality = 'complete') AS complete_n, count(*) FILTER (quality = 'partial') AS partial_n, count(*) FILTER (quality = 'broken') AS broken_n, string_agg(substr(quality, 1, 1), '' ORDER BY o_orderkey) AS strip FROM t GROUP BY 1, 2")
-def line_reliability(spark, d):
-    quality = F.when(F.col("o_orderstatus") == "F", "complete").when(F.col("o_orderstatus") == "O", "partial").otherwise("broken")
-    t = table(spark, d, "orders").select((F.col("o_custkey") % 50).alias("line"), F.trunc("o_orderdate", "month").alias("month"), "o_orderkey", quality.alias("quality"))
-    strip = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("o_orderkey", F.substring("quality", 1, 1).alias("q")))), lambda x: x["q"]), "")
-    return t.groupBy("line", "month").agg(*[F.count_if(F.col("quality") == q).alias(f"{q}_n") for q in ("complete", "partial", "broken")], strip.alias("strip"))
-
 
 @query("SELECT o_custkey, o_orderkey, o_orderstatus FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY CASE o_orderstatus WHEN 'F' THEN 0 WHEN 'O' THEN 1 ELSE 2 END, o_orderdate DESC, o_orderkey) AS n FROM orders) WHERE n = 1")
 def best_execution(spark, d):
@@ -149,11 +123,11 @@ def schedule_fingerprint(spark, d):
 
 @query("WITH q AS (SELECT o_orderkey, o_custkey, o_orderdate FROM orders), s AS (SELECT DISTINCT o_custkey % 50 AS k, date_trunc('quarter', o_orderdate) AS snap FROM orders WHERE o_orderstatus = 'P') SELECT o_orderkey, max(snap)::DATE AS snapshot FROM q LEFT JOIN s ON q.o_custkey % 50 = s.k AND s.snap <= q.o_orderdate GROUP BY 1")
 def latest_snapshot_as_of(spark, d):
+    """Snapshots are few: one sorted array for each key meets the rows, so that no window sorts them by date."""
     o = table(spark, d, "orders")
-    snaps = o.where("o_orderstatus = 'P'").select((F.col("o_custkey") % 50).alias("k"), F.trunc("o_orderdate", "quarter").alias("snap")).distinct()
-    both = o.select("o_orderkey", (F.col("o_custkey") % 50).alias("k"), F.col("o_orderdate").alias("at"), F.lit(None).cast("date").alias("snap")).unionByName(snaps.select(F.lit(None).cast("long").alias("o_orderkey"), "k", F.col("snap").cast("timestamp_ntz").alias("at"), "snap"))
-    w = Window.partitionBy("k").orderBy("at").rangeBetween(Window.unboundedPreceding, 0)
-    return both.withColumn("snapshot", F.max("snap").over(w)).where("o_orderkey IS NOT NULL").select("o_orderkey", "snapshot")
+    snaps = o.where("o_orderstatus = 'P'").groupBy((F.col("o_custkey") % 50).alias("k")).agg(F.array_sort(F.collect_set(F.trunc("o_orderdate", "quarter"))).alias("snaps"))
+    both = o.join(F.broadcast(snaps), F.col("o_custkey") % 50 == F.col("k"), "left")
+    return both.select("o_orderkey", F.array_max(F.filter("snaps", lambda x: x <= F.col("o_orderdate"))).alias("snapshot"))
 
 
 @query(f"WITH {_ARR}, g AS (SELECT line, service_date, avg(delay) AS m FROM a GROUP BY 1, 2) SELECT x.line, x.service_date, x.m - y.m AS change FROM g x JOIN g y ON x.line = y.line AND x.service_date = y.service_date + 1")
@@ -208,15 +182,6 @@ def route_patterns(spark, d):
     return _patterns(spark, d).groupBy("pattern", "stops").agg(F.count(F.lit(1)).alias("trips"), F.min("trip").alias("first_trip")).select(F.sha2("pattern", 256).alias("pattern_id"), "stops", "trips", "first_trip")
 
 
-@query(f"WITH {_PAT}, q AS (SELECT DISTINCT pattern, stops FROM p) SELECT pattern FROM q WHERE EXISTS (SELECT 1 FROM q l WHERE l.stops = q.stops + 1 AND contains('|' || l.pattern || '|', '|' || q.pattern || '|'))")
-def short_turns(spark, d):
-    """Patterns that a pattern with one stop more contains: the longer ones deal out their two ends."""
-    q = _patterns(spark, d).select("pattern", "stops").distinct()
-    parts = F.split("pattern", r"\|")
-    ends = F.array(F.array_join(F.slice(parts, 1, F.col("stops").cast("int") - 1), "|"), F.array_join(F.slice(parts, 2, F.col("stops").cast("int") - 1), "|"))
-    longer = q.where("stops > 1").select(F.explode(ends).alias("pattern"))
-    return q.join(longer, "pattern", "left_semi").select("pattern")
-
 
 @query("WITH v AS (SELECT vec_id, embedding[1]::DOUBLE AS x, embedding[2]::DOUBLE AS y FROM embeddings) SELECT a.vec_id, count(*) - 1 AS neighbours FROM v a JOIN v b ON sqrt(pow(a.x - b.x, 2) + pow(a.y - b.y, 2)) <= 0.02 GROUP BY 1")
 def grid_radius_join(spark, d):
@@ -302,8 +267,8 @@ def frequency_expansion(spark, d):
 
 @query("WITH t AS (SELECT l_orderkey, l_linenumber, l_partkey % 30 AS h, l_suppkey % 60 AS m FROM lineitem) SELECT h * 3600 + m * 60 AS seconds, count(*) AS n FROM t GROUP BY 1")
 def gtfs_times(spark, d):
-    text = F.format_string("%02d:%02d:00", F.col("l_partkey") % 30, F.col("l_suppkey") % 60)
-    return table(spark, d, "lineitem").groupBy(C.gtfs_seconds(text).cast("long").alias("seconds")).agg(F.count(F.lit(1)).alias("n"))
+    text = F.format_string("%02d:%02d:00", F.col("l_partkey") % 30, F.col("l_suppkey") % 60).alias("text")
+    return table(spark, d, "lineitem").select(text).groupBy(C.gtfs_seconds(F.col("text")).cast("long").alias("seconds")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("SELECT r_name, n_name, c_mktsegment, count(*) AS customers, sum(c_acctbal) AS balance FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY ROLLUP (r_name, n_name, c_mktsegment)")
@@ -319,4 +284,4 @@ def live_persistence(spark, d):
     return u.where("later IS NOT NULL").groupBy("horizon").agg(F.count(F.lit(1)).alias("pairs"), F.round(F.regr_slope("later", "delay"), 6).alias("alpha"), F.percentile(F.col("later") - F.col("delay"), 0.9).alias("p90_change"))
 
 
-from tramline import queries_facts, queries_schedule  # noqa: E402, F401
+from tramline import queries_facts, queries_marts, queries_schedule  # noqa: E402, F401

@@ -18,9 +18,9 @@ def pings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stop arrivals from `events`: line, stop, mode, vehicle, service_date, hour, delay."""
+    """Stop arrivals from `events`: line, stop, mode, vehicle, service_date, hour, delay (null for some)."""
     mode = F.when(F.col("user_id") % 2 == 0, "bus").otherwise("tram")
-    return table(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), (F.col("user_id") % 20).alias("line"), F.col("event_type").alias("stop"), mode.alias("mode"), F.col("user_id").alias("vehicle"), F.to_date("ts").alias("service_date"), F.hour("ts").alias("hour"), F.round(F.col("value") * 6 - 150).cast("int").alias("delay"))
+    return table(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), (F.col("user_id") % 20).alias("line"), F.col("event_type").alias("stop"), mode.alias("mode"), F.col("user_id").alias("vehicle"), F.to_date("ts").alias("service_date"), F.hour("ts").alias("hour"), F.when(F.col("event_id") % 50 != 7, F.round(F.col("value") * 6 - 150).cast("int")).alias("delay"))
 
 
 def calls(spark: SparkSession, sf_dir: str) -> DataFrame:
