@@ -73,6 +73,13 @@ FEEDS = {
   CASE WHEN c.n % 23 = 0 OR (c.l_linenumber = 1 AND c.n % 11 = 0) THEN 'not_in_passenger_service' WHEN c.p % 13 = 0 OR c.p % 31 = 0 THEN 'request' ELSE 'regular' END AS stop_service_class,
   CASE WHEN c.n % 23 = 0 THEN 'technical_trip' WHEN c.l_linenumber = 1 AND c.n % 11 = 0 THEN 'technical_prefix' WHEN c.n % 29 = 0 AND c.l_linenumber = 2 THEN 'unknown' ELSE 'passenger' END AS stop_execution_class,
   NOT (c.n % 23 = 0 OR (c.l_linenumber = 1 AND c.n % 11 = 0)) AS is_passenger_stop, c.n % 29 <> 0 AS are_passenger_boundaries_settled FROM matcher_runs r JOIN raw_timed c ON c.trip_id = r.trip_id""",
+    # one day's courses of vehicles and their pings: whole rides, rides that never arrive, that start outside, that turn back, and with a pause
+    "raw_courses": """SELECT trip_id, n, CAST(line_no AS STRING) AS line, CAST(n % 3 AS STRING) AS brigade, vehicle_number, 1712700000 + start_s AS scheduled_start_s, 1712700000 + start_s + 1320 AS scheduled_end_s,
+  (52100000 + line_no * 10000) / 1000000.0E0 AS origin_lat, 21000000 / 1000000.0E0 AS origin_lon, (52120000 + line_no * 10000) / 1000000.0E0 AS destination_lat, 21020000 / 1000000.0E0 AS destination_lon, delay FROM matcher_runs WHERE processing_date = date '2024-04-10' AND service_date = date '2024-04-10'""",
+    "raw_track": """SELECT c.vehicle_number, c.line, c.brigade, c.scheduled_start_s + c.delay + x.k * 60 + CASE WHEN CAST(floor(c.n / 5) AS BIGINT) % 5 = 4 AND x.k > 1 THEN 400 ELSE 0 END AS time_s, (c.origin_lat * 1000000 + x.p * 20) / 1000000.0E0 AS lat, (21000000 + x.p * 20) / 1000000.0E0 AS lon
+  FROM raw_courses c JOIN (SELECT n_nationkey AS k, m, CASE WHEN m = 1 THEN least(600, greatest(0, n_nationkey - 2) * 55) WHEN m = 2 THEN 300 + least(700, n_nationkey * 40) WHEN m = 3 AND n_nationkey > 6 AND n_nationkey < 12 THEN 0 WHEN n_nationkey < 3 THEN 0 ELSE least(1000, (n_nationkey - 2) * 55) END AS p FROM {nation} CROSS JOIN (SELECT r_regionkey AS m FROM {region}) r) x ON x.m = CAST(floor(c.n / 5) AS BIGINT) % 5""",
+    "raw_minutes": """SELECT CASE WHEN t.m = 0 THEN 'bus' ELSE 'tram' END AS mode, 1711756800 + event_id * 60 AS at_s, 6 AS attempts, CASE WHEN CAST(floor(event_id / 40) AS BIGINT) % 9 = 4 AND event_id % 4 <> 1 THEN 2 ELSE 6 END AS successes,
+  CAST(floor((90 + (event_id * 7 + t.m * 13) % 21) * CASE WHEN CAST(floor(event_id / 25) AS BIGINT) % 17 = 3 + t.m THEN 0.25 WHEN event_id % 1440 < 240 THEN 0.15 ELSE 1.0 END) AS BIGINT) AS vehicles FROM {events} CROSS JOIN (SELECT r_regionkey AS m FROM {region} WHERE r_regionkey < 2) t WHERE event_id % 211 >= 5""",
 }
 
 
