@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -65,9 +67,18 @@ def scheduled_time(service_date: Column, seconds: Column, zone: str = "Europe/Wa
     return F.timestamp_add("SECOND", seconds - 12 * 3600, noon)
 
 
+def _bare(char: str) -> str:
+    """The letter without its marks."""
+    return "".join(c for c in unicodedata.normalize("NFKD", char) if not unicodedata.combining(c))
+
+
+#: Lower-case Latin letters that are one plain letter with marks, by their decomposition, and the barred l.
+_MARKED = {c: _bare(c) for c in map(chr, [*range(0xDF, 0x250), *range(0x1E00, 0x1F00)]) if c == c.lower() and len(_bare(c)) == 1 and _bare(c).isascii()} | {"ł": "l"}
+
+
 def search_key(text: Column) -> Column:
-    """Lower case, without the accents of Latin letters, one space between words."""
-    plain = F.translate(F.lower(text), "ąćęłńóśźżàáâãäåçèéêëìíîïñòôõöùúûüýÿ", "acelnoszzaaaaaaceeeeiiiinoooouuuuyy")
+    """Lower case, without the marks of Latin letters, one space between words."""
+    plain = F.translate(F.lower(text), "".join(_MARKED), "".join(_MARKED.values()))
     return F.trim(F.regexp_replace(plain, r"\s+", " "))
 
 

@@ -68,12 +68,15 @@ def grid_join(left: DataFrame, right: DataFrame, x: str, y: str, radius: float)
 
 
 def fallback(df: DataFrame, value: str, levels: Sequence[Sequence[str]], least: int, name: str) -> DataFrame:
-    """The mean of the finest level that has at least `least` rows, and its number; the last level always counts."""
+    """The mean of the finest level that has at least `least` rows, and its number; the last level always counts. Each
+    level holds the next one's keys, so that rows are read and grouped once, by the first, and rolled up from there."""
     out, picks = df, []
+    sums = df.groupBy(*levels[0]).agg(F.sum(value).alias("__s"), F.count(value).alias("__c"))
     for i, keys in enumerate(levels):
         need = least if i < len(levels) - 1 else 1
-        per = df.groupBy(*keys).agg(F.avg(value).alias(f"__m{i}"), F.count(value).alias(f"__c{i}")).where(F.col(f"__c{i}") >= need).drop(f"__c{i}")
-        out = out.join(per, list(keys), "left") if keys else out.join(per, how="cross")
+        sums = sums if i == 0 else sums.groupBy(*keys).agg(F.sum("__s").alias("__s"), F.sum("__c").alias("__c"))
+        per = sums.where(F.col("__c") >= need).select(*keys, (F.col("__s") / F.col("__c")).alias(f"__m{i}"))
+        out = out.join(per, list(keys), "left") if keys else out.join(F.broadcast(per), how="cross")
         picks.append(F.when(F.col(f"__m{i}").isNotNull(), F.struct(F.col(f"__m{i}").alias("m"), F.lit(i).alias("level"))))
     best = F.coalesce(*picks)
     return out.withColumn(name, best["m"]).withColumn("level", best["level"]).drop(*[f"__m{i}" for i in range(len(levels))])
