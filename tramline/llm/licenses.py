@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tramline.llm.shared import ascii_lower, saved
+from tramline.llm.shared import ascii_lower, checked, saved
 
 #: Words of a lower-cased text: digits, a-z and everything past ASCII.
 WORD = r"([0-9a-z\x{80}-\x{10FFFF}]+)"
@@ -29,6 +29,18 @@ NOTICES = (
     ("mpl-2", "this source code form is subject to the terms of the mozilla public license v 2 0"),
     ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"),
     ("unlicense", "this is free and unencumbered software released into the public domain"),
+    ("cc0", "to the extent possible under law the author has waived all copyright and related or neighboring rights to this work"),
+    ("cc-by-nd", "licensed under a creative commons attribution noderivatives 4 0 international license"),
+    ("cc-by-nc-sa", "licensed under a creative commons attribution noncommercial sharealike 4 0 international license"),
+    ("agpl-3", "under the terms of the gnu affero general public license as published by the free software foundation"),
+    ("lgpl", "under the terms of the gnu lesser general public license as published by the free software foundation"),
+    ("gfdl", "permission is granted to copy distribute and or modify this document under the terms of the gnu free documentation license"),
+    ("epl", "this program and the accompanying materials are made available under the terms of the eclipse public license"),
+    ("zlib", "this software is provided as is without any express or implied warranty in no event will the authors be held liable for any damages arising from the use of this software"),
+    ("boost", "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license"),
+    ("ofl", "this font software is licensed under the sil open font license version 1 1"),
+    ("odbl", "this database is made available under the open database license"),
+    ("wtfpl", "everyone is permitted to copy and distribute verbatim or modified copies of this license document and changing it is allowed as long as the name is changed"),
 )
 #: Words of a gram, for phrases and for notices.
 K_BASE, K = 2, 3
@@ -48,10 +60,8 @@ def template_rows(base=None, notices=NOTICES) -> list[tuple]:
 
 
 def templates(spark, base=None, notices=NOTICES) -> DataFrame:
-    """The template grams with their hashes; as many rows as the given templates have words, at most 20,000."""
+    """The template grams with their hashes; as many rows as the given templates have words."""
     rows = template_rows(base, notices)
-    if len(rows) > 20_000:
-        raise ValueError("more than 20,000 template grams")
     text = lambda w: "CAST(NULL AS STRING)" if w is None else "'" + w.replace("\\", "\\\\").replace("'", "\\'") + "'"
     cells = [(t, text(label), b, n, k, i, *[text(w) for w, _ in zip([*g.split(), None], "abc", strict=False)]) for t, label, b, n, k, i, g in rows]
     values = ", ".join("(" + ", ".join(map(str, c)) + ")" for c in cells)
@@ -77,7 +87,7 @@ def votes(docs: DataFrame, base=None, notices=NOTICES) -> DataFrame:
     grams = words.select("doc_id", "row", F.posexplode_outer(triples).alias("pos", "x")).select("doc_id", "row", F.col("pos").cast("long").alias("pos"), "x.a", "x.b", "x.c")
     t = templates(docs.sparkSession, base, notices)
     same = (F.xxhash64("a", "b") == F.col("t_hash")) & (F.col("a") == F.col("t_a")) & (F.col("b") == F.col("t_b")) & (F.col("t_c").isNull() | (F.col("c") == F.col("t_c")))
-    return grams.join(F.broadcast(t), same).select("doc_id", "row", "template", "label", "is_base", "n", "k", "pos", "at")
+    return grams.join(checked(t, 20_000), same).select("doc_id", "row", "template", "label", "is_base", "n", "k", "pos", "at")
 
 
 def spans(docs: DataFrame, base=None, notices=NOTICES) -> DataFrame:
@@ -104,7 +114,9 @@ def spans(docs: DataFrame, base=None, notices=NOTICES) -> DataFrame:
 def scan(docs: DataFrame, base=None, notices=NOTICES, cover: float = COVER) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score for each document. A notice's label
     needs an occurrence that covers `cover` of its words; score is the best cover of any occurrence, 0 without one.
-    Null and empty texts have no words; labels without any are the empty string."""
+    Null and empty texts have no words; labels without any are the empty string. Rows that repeat give rows that
+    repeat; no documents give none; texts of any length are read whole; other columns, whatever their names, are left
+    aside."""
     per = spans(docs, base, notices).groupBy("doc_id", "row").agg(
         F.count_if("is_base").alias("n_base"),
         F.min(F.when(F.col("is_base"), F.col("place"))).alias("first_word"),
