@@ -42,7 +42,7 @@ def decoded(text: Column) -> Column:
         kept = F.concat(F.lit("&"), x)
         return F.when(i == 0, x).when(ref == "", kept).otherwise(F.coalesce(F.concat(char, F.substr(x, F.char_length(ref) + 2)), kept))
 
-    return F.when(F.instr(text, "&") > 0, F.array_join(F.transform(F.split(text, "&", -1), part), "")).otherwise(text)
+    return F.array_join(F.transform(F.split(text, "&", -1), part), "")  # the text stands here once, so it's made once
 
 
 def plain_text(html: Column) -> Column:
