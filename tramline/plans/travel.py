@@ -234,7 +234,7 @@ def expected_times(keyed: DataFrame, slots: DataFrame) -> DataFrame:
     s = with_slots(keyed, slots, ["dq50", "e3"])
     w = Window.partitionBy(*TRIP).orderBy("stop_sequence")
     so_far = w.rowsBetween(Window.unboundedPreceding, 0)
-    s = s.withColumns({"usual": F.round("dq50"), "leave_by": F.when(~F.col("is_last"), F.floor(F.least(F.col("e3") + TOLERANCE, F.lit(0)))), "ride": F.col("sod") - F.first("sod").over(so_far)})
+    s = s.withColumns({"usual": F.round("dq50"), "leave_by": F.when(~F.col("is_last"), F.floor(F.round(F.least(F.col("e3") + TOLERANCE, F.lit(0)), 6))), "ride": F.col("sod") - F.first("sod").over(so_far)})
     start = F.when(F.col("leave_by").isNotNull(), F.col("sod") + F.greatest("usual", F.col("leave_by").cast("double")) - F.col("ride"))
     s = s.withColumn("start", start).withColumn("mean", F.avg("start").over(so_far))
     s = s.withColumn("raw", F.coalesce(F.col("mean") + F.col("ride"), F.col("sod") + F.col("usual")))

@@ -192,7 +192,7 @@ def live_turnaround(spark, d):
 
 
 @query(f"""SELECT service_date, trip_id, vehicle_number, stop_sequence, usual, leave_by, ride, floor(max(coalesce(mean + ride, sod + usual)) OVER (PARTITION BY service_date, trip_id, vehicle_number ORDER BY stop_sequence ROWS UNBOUNDED PRECEDING) + 0.5)::BIGINT AS expected_sod FROM (SELECT *, avg(CASE WHEN leave_by IS NOT NULL THEN sod + greatest(usual, leave_by) - ride END) OVER (PARTITION BY service_date, trip_id, vehicle_number ORDER BY stop_sequence ROWS UNBOUNDED PRECEDING) AS mean
-  FROM (SELECT c.*, round({_picked('dq50')}) AS usual, CASE WHEN NOT c.is_last THEN floor(least({_picked('e3')} + 30, 0))::BIGINT END AS leave_by, c.sod - first_value(c.sod) OVER (PARTITION BY c.service_date, c.trip_id, c.vehicle_number ORDER BY c.stop_sequence) AS ride FROM o_keyed c {_SLOT_JOINS}) x) y""")
+  FROM (SELECT c.*, round({_picked('dq50')}) AS usual, CASE WHEN NOT c.is_last THEN floor(round(least({_picked('e3')} + 30, 0), 6))::BIGINT END AS leave_by, c.sod - first_value(c.sod) OVER (PARTITION BY c.service_date, c.trip_id, c.vehicle_number ORDER BY c.stop_sequence) AS ride FROM o_keyed c {_SLOT_JOINS}) x) y""")
 def expected_stop_times(spark, d):
     return T.expected_times(keyed_table(spark, d), _fitted(spark, d))
 
