@@ -153,3 +153,68 @@ def test_aligned_stops_rise(spark, sf_dir):
 def test_every_query_has_sql_or_a_test():
     missing = {k for k in entry.queries() if k not in entry.oracle_sql()}
     assert {k for k in missing if not k.startswith("op") and k != "pipeline"} == {"aligned_stops"}
+
+
+def test_search_equals_plain_rounds(spark):
+    """Against all chains of at most three rides over drawn timetables, with walks between them."""
+    from tramline.plans import journeys as J
+
+    rng = random.Random(5)
+    calls, walks = [], [(f"s{a}", f"s{(a + 3) % 9}", 120 + 10 * a) for a in range(9)]
+    for trip in range(40):
+        t, stop = rng.randrange(3000), rng.randrange(9)
+        for pos in range(rng.randrange(2, 6)):
+            calls.append((f"t{trip}", pos, f"s{stop}", t + 5, t, rng.random() < 0.9, rng.random() < 0.9))
+            t, stop = t + rng.randrange(60, 700), (stop + rng.choice((1, 2, 8))) % 9
+    asked, until = [("a", "s0", 0), ("b", "s4", 900), ("c", "nowhere", 0)], 5000
+    late = lambda s: max(0, s) * 1.1
+    want = []
+    for name, origin, at in asked:
+        end = at + until
+        best, rides = {origin: at}, {}
+        for a, b, s in walks:
+            if a == origin and at + s < end:
+                best[b] = min(best.get(b, end), at + s)
+        front = dict(best)
+        for n in (1, 2, 3):
+            rode = {}
+            for x in calls:
+                for y in calls:
+                    if x[0] == y[0] and y[1] > x[1] and x[5] and y[6] and x[2] in front and front[x[2]] <= x[3] < end:
+                        t = max(-int(-(x[3] + late(y[4] - x[3])) // 1), y[4], x[3])
+                        if t < end and t < rode.get(y[2], rides.get(y[2], end)):
+                            rode[y[2]] = t
+            rides |= rode
+            new = dict(rode)
+            for a, b, s in walks:
+                if a in rode and rode[a] + s < end:
+                    new[b] = min(new.get(b, end), rode[a] + s)
+            front = {k: t for k, t in new.items() if t < best.get(k, end + 1)}
+            best |= front
+            want += [(name, k, n, t) for k, t in front.items()]
+    c = spark.createDataFrame(calls, "trip_id string, pos int, stop_id string, dep_s int, arr_s int, may_board boolean, may_alight boolean")
+    w = spark.createDataFrame(walks, "from_stop_id string, to_stop_id string, walk_s int")
+    r = spark.createDataFrame(asked, "request string, stop_id string, depart_s int")
+    got = J.search(r, c, w, lambda _, df: df, lambda s: s * 1.1, vehicles=3, most=until)
+    assert rows_of(got) == sorted(want, key=str) and len({v for _, _, v, _ in want}) > 1
+    assert J.search(r.limit(0), c, w, lambda _, df: df, lambda s: s * 1.1, vehicles=2).count() == 0
+
+
+def test_spread_points_keep_their_gap(spark):
+    from tramline.plans import serving as V
+
+    rng = random.Random(2)
+    drawn = {k: sorted(rng.choice((rng.random() * 3, 96 + rng.random() * 4, rng.random() * 100)) for _ in range(n)) for k, n in enumerate((1, 2, 30, 300))}
+    df = spark.createDataFrame([(k, i + 1, x) for k, xs in drawn.items() for i, x in enumerate(xs)], "k int, point_rank int, x_percent double")
+    got = {(r.k, r.point_rank): r.x for r in V.spread(df, ["k"]).collect()}
+    for k, xs in drawn.items():
+        n, gap = len(xs), min(0.55, 100 / max(1, len(xs) - 1))
+        x = list(xs)
+        for i in range(1, n):
+            x[i] = max(x[i], x[i - 1] + gap)
+        if n > 1:
+            x = [v - max(0, x[-1] - 100) for v in x]
+            for i in range(n - 2, -1, -1):
+                x[i] = min(x[i], x[i + 1] - gap)
+            x = [min(100, max(0, v + max(0, -x[0]))) for v in x]
+        assert [got[k, i + 1] for i in range(n)] == pytest.approx(x)

@@ -284,4 +284,4 @@ def live_persistence(spark, d):
     return u.where("later IS NOT NULL").groupBy("horizon").agg(F.count(F.lit(1)).alias("pairs"), F.round(F.regr_slope("later", "delay"), 6).alias("alpha"), F.percentile(F.col("later") - F.col("delay"), 0.9).alias("p90_change"))
 
 
-from tramline import queries_facts, queries_health, queries_marts, queries_matching, queries_schedule, queries_serving, queries_travel  # noqa: E402, F401
+from tramline import queries_facts, queries_health, queries_journeys, queries_marts, queries_matching, queries_schedule, queries_serving, queries_travel  # noqa: E402, F401
