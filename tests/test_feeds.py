@@ -218,3 +218,58 @@ def test_spread_points_keep_their_gap(spark):
                 x[i] = min(x[i], x[i + 1] - gap)
             x = [min(100, max(0, v + max(0, -x[0]))) for v in x]
         assert [got[k, i + 1] for i in range(n)] == pytest.approx(x)
+
+
+def test_best_chain_equals_all_chains():
+    from tramline.plans import duties as D
+
+    rng = random.Random(11)
+    lengths = set()
+    for _ in range(150):
+        starts = [k * 1500 for k in range(rng.randrange(1, 6))]
+        own = []
+        for _ in range(rng.randrange(1, 9)):
+            k = rng.randrange(len(starts))
+            departs = starts[k] + rng.choice((-600, 0, 60, 300, 1200, 2400))
+            own.append({"course": k, "origin": departs - 30, "departs": departs, "arrives": departs + rng.choice((900, 1400, 1700))})
+        chains = []
+
+        def go(chain, cost):
+            if chain:
+                chains.append((-len(chain), cost))
+            for c in own:
+                delay = c["departs"] - starts[c["course"]]
+                if not chain:
+                    go([c], abs(delay))
+                    continue
+                b = chain[-1]
+                was = b["departs"] - starts[b["course"]]
+                if c["course"] > b["course"] and c["departs"] > b["arrives"] and not (delay - was > 900 and c["origin"] - b["arrives"] > 900):
+                    go([*chain, c], cost + abs(delay - was))
+
+        go([], 0)
+        n, cost, chain = D.best_chain(starts, own)
+        assert (n, cost) == min(chains) and len(chain) == -n
+        lengths.add(-n)
+    assert len(lengths) > 3 and D.best_chain([0], []) is None
+
+
+def test_settled_statuses(spark):
+    from tramline.plans import duties as D
+
+    course = [{"trip_id": f"t{k}", "start": k * 3000, "settled": k != 5} for k in range(8)]
+    ride = lambda k, v, late=0, kind="candidate", fits=True: {"course": k, "kind": kind, "fits": fits, "vehicle": v, "origin": k * 3000 + late - 30, "departs": k * 3000 + late, "arrives": k * 3000 + late + 1200 if kind == "candidate" else None}
+    found = [ride(0, "a"), ride(2, "a", 60), ride(3, "a", kind="partial"), ride(4, "a", 90), ride(6, "a", 9000, fits=False), ride(7, "b", kind="observation")]
+    got = [(x["execution_status"], x["execution_reason"]) for x in D.settle(course, found)]
+    assert [s for s, _ in got] == ["executed", "skipped", "executed", "short_turned", "executed", "uncertain", "uncertain", "uncertain"]
+    assert [r for _, r in got[5:]] == ["passenger_boundaries_unknown", "implausible_schedule_alignment", "terminal_progression_incomplete"]
+    assert D.settle(course[:2], [])[0]["execution_reason"] == "no_line_observation"
+    two = D.settle(course[:2], [ride(0, "a"), ride(0, "b", 10)])
+    assert two[0]["execution_status"] == "vehicle_change_signal" and two[0]["vehicle_number"] is None and two[1]["execution_status"] == "missed"
+    # a vehicle that was away long and comes back an hour late under the next course
+    away = [ride(0, "a"), {**ride(1, "a", 3000), "arrives": 9000}, {**ride(2, "a", 0), "origin": 5970, "departs": 6000, "arrives": 7200}]
+    assert [x["execution_status"] for x in D.settle(course[:3], away)] == ["executed", "missed", "executed"]
+    c = spark.createDataFrame([("1", "1", f"t{k}", k * 3000, True) for k in (0, 1, 1)], "line string, brigade string, trip_id string, scheduled_start_s long, settled boolean")
+    e = spark.createDataFrame([("a", "t0", "candidate", True, 0, 30, 900)], "vehicle_number string, trip_id string, kind string, fits boolean, origin long, departs long, arrives long")
+    assert sorted((r.trip_id, r.execution_status) for r in D.settled_duties(c, e).collect()) == [("t0", "executed"), ("t1", "missed")]
+    assert D.settled_duties(c.limit(0), e).count() == 0

@@ -137,3 +137,13 @@ def trip_metrics(spark, d):
 def trip_quality(spark, d):
     q = M.trip_quality(_metrics(spark, d))
     return q.select(*_TRIP.split(", "), "vehicle_number", "detected_stop_ratio", "trip_quality", "service_observation_class", F.array_join("quality_flags", ",").alias("quality_flags"))
+
+
+@query()
+def duty_settlement(spark, d):
+    """Statuses of one day's courses. Choosing chains isn't told in SQL; tests hold it against all chains."""
+    from tramline.plans import duties as D
+
+    e = published(spark, d, "terminal_episodes", lambda: _episodes(spark, d))
+    courses = _f(spark, d)("raw_courses").withColumn("settled", F.col("n") % 29 != 0)
+    return D.settled_duties(courses, D.evidence(e, M.traversals(e)))
