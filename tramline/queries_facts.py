@@ -50,19 +50,35 @@ PARTS |= {
 
 
 def history(spark, d):
-    return published(spark, d, "history", lambda: _history(spark, d).drop("stops"))
+    return published(spark, d, "history", lambda: _history(spark, d).drop("stops", "ordered_stop_ids", "ordered_arrivals"))
 
 
 def versions(spark, d):
     return published(spark, d, "versions", lambda: S.schedule_versions(S.fingerprints(history(spark, d))))
 
 
+def _trips(spark, d):
+    return published(spark, d, "fct_trip", lambda: X.with_executions(X.trips(_f(spark, d), history(spark, d), versions(spark, d))))
+
+
 def trip_table(spark, d):
-    return published(spark, d, "fct_trip", lambda: X.trips(_f(spark, d), history(spark, d), versions(spark, d)))
+    return _trips(spark, d).drop("is_served")
+
+
+def execution_table(spark, d):
+    return _trips(spark, d).where("is_served").drop("is_served")
+
+
+def _arrivals(spark, d):
+    return published(spark, d, "fct_stop_arrival", lambda: X.arrivals(_f(spark, d), _trips(spark, d), "is_served"))
 
 
 def arrival_table(spark, d):
-    return published(spark, d, "fct_stop_arrival", lambda: X.arrivals(_f(spark, d), trip_table(spark, d)))
+    return _arrivals(spark, d).drop("is_served")
+
+
+def serving_table(spark, d):
+    return _arrivals(spark, d).where("is_served").drop("is_served")
 
 
 def event_table(spark, d):
@@ -95,10 +111,6 @@ def serving_trip_execution(spark, d):
     return X.executions(trip_table(spark, d))
 
 
-def execution_table(spark, d):
-    return published(spark, d, "trip_execution", lambda: X.executions(trip_table(spark, d)))
-
-
 @query("SELECT * FROM o_serving")
 def serving_stop_arrival(spark, d):
     return X.serving_arrivals(arrival_table(spark, d), execution_table(spark, d))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tramline.plans import gps as G
 from tramline.plans import marts as M
 from tramline.plans import schedule as S
-from tramline.queries_facts import NOW, X, _history, arrival_table, event_table, execution_table, history, trip_table, versions
+from tramline.queries_facts import NOW, X, _history, arrival_table, event_table, execution_table, history, serving_table, trip_table, versions
 from tramline.queries_schedule import _f, local, start_of
 from tramline.registry import PARTS, query
 from tramline.sources.published import published
@@ -118,10 +118,6 @@ def pipeline_status_recent(spark, d):
     return G.recent_status(pipeline_status(spark, d), F.lit("2024-04-05").cast("date"))
 
 
-def serving_table(spark, d):
-    return published(spark, d, "serving_arrival", lambda: X.serving_arrivals(arrival_table(spark, d), execution_table(spark, d)))
-
-
 def _windows(spark, d):
     return M.window_dates(M.observed_dates(serving_table(spark, d)), until())
 
