@@ -22,7 +22,8 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of texts whose five-word shingles have a similarity of 0.8 or more."""
+    """One document of each group of texts whose five-word shingles have a similarity of 0.8 or more: candidates by
+    fingerprints compared in tiles of population counts, then by least shingles, each pair verified."""
     return simhash.one_of_similar(docs, similarity=0.8, shingle=5)
 
 

@@ -220,8 +220,9 @@ FIRST = 4
 
 
 def _sketch(shingle: int, whole: bool):
-    """(doc_id, row, set_id, n, keys) of each text, or with `whole` (doc_id, row, set_id, hashes), the distinct
-    shingles as 32-bit hashes. Equal set_id: the same set of shingles. Wordless texts have set_id 0 and no keys."""
+    """(doc_id, row, set_id, n, fp, keys) of each text, or with `whole` (doc_id, row, set_id, hashes), the distinct
+    shingles as 32-bit hashes. Equal set_id: the same set of shingles, and fp, the fingerprint of the distinct shingles,
+    is equal too. Wordless texts have set_id 0 and no keys."""
 
     def run(batches):
         for b in batches:
@@ -231,20 +232,20 @@ def _sketch(shingle: int, whole: bool):
                 name = xxhash.xxh64_intdigest(u.tobytes(), 1) if u.size else 0
                 mixed = u ^ (u >> np.uint64(29))
                 extra = np.unique(u.astype(np.uint32)).view(np.int32) if whole else (mixed[:, None] * ORDERS).min(0).view(np.int64) if u.size else np.zeros(0, np.int64)
-                out.append((name - (name >> 63 << 64), u.size, extra))
-            ids, sizes, extras = zip(*out, strict=True) if out else ((), (), ())
+                out.append((name - (name >> 63 << 64), u.size, 0 if whole else majority(u), extra))
+            ids, sizes, fps, extras = zip(*out, strict=True) if out else ((), (), (), ())
             cols = [b.column(0), b.column(1), pa.array(ids, pa.int64())]
             if whole:
                 yield pa.RecordBatch.from_arrays([*cols, pa.array(extras, pa.list_(pa.int32()))], names=["doc_id", "row", "set_id", "hashes"])
             else:
-                yield pa.RecordBatch.from_arrays([*cols, pa.array(sizes, pa.int64()), pa.array(extras, pa.list_(pa.int64()))], names=["doc_id", "row", "set_id", "n", "keys"])
+                yield pa.RecordBatch.from_arrays([*cols, pa.array(sizes, pa.int64()), pa.array(fps, pa.int64()), pa.array(extras, pa.list_(pa.int64()))], names=["doc_id", "row", "set_id", "n", "fp", "keys"])
 
     return run
 
 
 def sketches(docs: DataFrame, shingle: int, whole: bool = False) -> DataFrame:
     schema = docs.select("doc_id", "row").schema.add("set_id", "long")
-    schema = schema.add("hashes", T.ArrayType(T.IntegerType())) if whole else schema.add("n", "long").add("keys", T.ArrayType(T.LongType()))
+    schema = schema.add("hashes", T.ArrayType(T.IntegerType())) if whole else schema.add("n", "long").add("fp", "long").add("keys", T.ArrayType(T.LongType()))
     return docs.select("doc_id", "row", "text").mapInArrow(_sketch(shingle, whole), schema)
 
 
@@ -354,25 +355,30 @@ def _tile_groups(one: DataFrame, dealt: DataFrame, keys: DataFrame, named: DataF
     return group
 
 
-def similar_groups(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, rows: int = 2048, hashes: int = 1 << 20) -> DataFrame:
+def similar_groups(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, rows: int = 2048, hashes: int = 1 << 20, radius: int = 2) -> DataFrame:
     """doc_id, row (hash of the text), least (struct of the smallest doc_id and row of its group) for each document
     with an id: groups joined by pairs whose sets of shingles have a Jaccard similarity of at least `similarity`.
 
-    Fingerprints of such pairs differ in far more than two bits, so tiles by population count alone would compare all
-    with all. Here a text enters one tile for each of eight orders of its shingles, named by the least shingle: a pair
-    at 0.8 shares none with probability 0.2 ** 8, 3 in a million. Tiles are split by the octave of a set's size; a set
+    Candidates come from fingerprints first: all within `radius` bits are found in tiles of population counts (`links`),
+    and each group so linked is a tile of sets. Pairs nearer 0.8 differ in far more bits, with which those tiles would
+    compare all with all. For them a text enters one tile for each of eight orders of its shingles too, named by the
+    least shingle: a pair at 0.8 shares none with probability 0.2 ** 8, 3 in a million. Tiles are split by the octave of a set's size; a set
     whose partners may lie in the next octave enters that too, so `similarity` has to be over a half. Within a tile
     sizes and the XOR of bit maps rule out pairs that can't be similar, and the sets decide all others. Equal sets are
     one member.
 
-    Two rounds: first the tiles of FIRST orders, where a tile of more than `rows` members or `hashes` shingles is cut
+    Two rounds: first the tiles of fingerprints and of FIRST orders, where a tile of more than `rows` members or `hashes` shingles is cut
     into blocks that all hold its representative, the work on a large group of copies thus linear; then all blocks of
     such tiles with each other and the tiles of the other orders, but only where members are still of several groups,
     and only pairs of different ones."""
     named = docs.where("doc_id IS NOT NULL").select("doc_id", F.xxhash64("text").alias("row"), "text")
     all_ = saved(sketches(named, shingle))
     who = F.struct("doc_id", "row")
-    one = saved(all_.groupBy("set_id").agg(F.min_by(F.struct("n", "keys"), who).alias("x"), F.min(who).alias("least")).select("set_id", "least", "x.n", "x.keys"))
+    one = saved(all_.groupBy("set_id").agg(F.min_by(F.struct("n", "fp", "keys"), who).alias("x"), F.min(who).alias("least")).select("set_id", "least", "x.n", "x.fp", "x.keys"))
+    near = components(links(one.where("n > 0"), radius))
+    tile = F.xxhash64(F.lit("fingerprint"), F.coalesce("near", "fp"))
+    one = one.join(near.select(F.col("node").alias("fp"), F.col("component").alias("near")), "fp", "left")
+    one = saved(one.select("set_id", "least", "n", F.when(F.col("n") > 0, F.concat(F.array(tile), "keys")).otherwise(F.col("keys")).alias("keys")))
     octave = lambda n: F.floor(F.log2(n)).cast("int")
     bands = F.array_distinct(F.array(octave(F.col("n")), octave(F.col("n") / F.lit(similarity * 0.9999))))
     size = F.greatest(F.ceil(F.col("c") / rows), F.ceil(F.col("w") / hashes)).cast("int").alias("blocks")
@@ -381,14 +387,14 @@ def similar_groups(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, r
         out = of.select("set_id", F.col(name).alias("name"), "n", F.explode(bands).alias("band"), "keys")
         return out.select("set_id", "name", "n", "band", F.explode(F.slice("keys", *orders)).alias("key")).withColumn("key", F.xxhash64("key", "band")).drop("band")
 
-    dealt = deal(one, "set_id", (1, FIRST))
+    dealt = deal(one, "set_id", (1, 1 + FIRST))
     keys = dealt.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("w"), F.min("set_id").alias("rep")).where("c > 1").select("key", size, "rep")
     keys = saved(keys)
     group = _tile_groups(one, dealt, keys, named, shingle, similarity, False)
     one = saved(one.join(group, F.col("set_id") == F.col("node"), "left").select("set_id", "least", "n", "keys", F.coalesce("component", "set_id").alias("component")))
 
-    hot = deal(one, "component", (1, FIRST)).join(keys.where("blocks > 1").select("key"), "key", "left_semi")
-    rest = hot.unionByName(deal(one, "component", (FIRST + 1, len(ORDERS) - FIRST)))
+    hot = deal(one, "component", (1, 1 + FIRST)).join(keys.where("blocks > 1").select("key"), "key", "left_semi")
+    rest = hot.unionByName(deal(one, "component", (FIRST + 2, len(ORDERS) - FIRST)))
     apart = rest.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("w"), F.min("set_id").alias("rep"), F.min("name").alias("lo"), F.max("name").alias("hi"))
     apart = saved(apart.where("lo < hi").select("key", size, "rep"))
     group = _tile_groups(one, rest, apart, named, shingle, similarity, True).withColumnRenamed("component", "wider")
