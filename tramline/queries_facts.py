@@ -49,8 +49,19 @@ PARTS |= {
 }
 
 
+def timetable(spark, d):
+    """A row for each trip: days multiply it where it's read, not where it's stored."""
+    return published(spark, d, "timetables", lambda: S.timetables(_f(spark, d)).drop("stops", "ordered_stop_ids", "ordered_arrivals"))
+
+
 def history(spark, d):
-    return published(spark, d, "history", lambda: _history(spark, d).drop("stops", "ordered_stop_ids", "ordered_arrivals"))
+    f = _f(spark, d)
+    return S.trip_schedule(f, S.processing_snapshots(f), False, timetable(spark, d))
+
+
+def _fct_trip(spark, d):
+    f = _f(spark, d)
+    return X.trips(f, timetable(spark, d), S.processing_snapshots(f), versions(spark, d))
 
 
 def versions(spark, d):
@@ -58,7 +69,7 @@ def versions(spark, d):
 
 
 def _trips(spark, d):
-    return published(spark, d, "fct_trip", lambda: X.with_executions(X.trips(_f(spark, d), history(spark, d), versions(spark, d))))
+    return published(spark, d, "fct_trip", lambda: X.with_executions(_fct_trip(spark, d)))
 
 
 def trip_table(spark, d):
@@ -87,7 +98,7 @@ def event_table(spark, d):
 
 @query("SELECT * FROM o_trip")
 def fct_trip(spark, d):
-    return X.trips(_f(spark, d), history(spark, d), versions(spark, d))
+    return _fct_trip(spark, d)
 
 
 @query("SELECT * FROM o_arrival")
