@@ -51,7 +51,7 @@ PARTS |= {
 
 def timetable(spark, d):
     """A row for each trip: days multiply it where it's read, not where it's stored."""
-    return published(spark, d, "timetables", lambda: S.timetables(_f(spark, d)).drop("stops", "ordered_stop_ids", "ordered_arrivals"))
+    return published(spark, d, "timetables", lambda: S.timetables(_f(spark, d)).drop("stops", "ordered_stop_ids", "ordered_arrivals"), True)
 
 
 def history(spark, d):
@@ -65,11 +65,12 @@ def _fct_trip(spark, d):
 
 
 def versions(spark, d):
-    return published(spark, d, "versions", lambda: S.schedule_versions(S.fingerprints(history(spark, d))))
+    f = _f(spark, d)
+    return published(spark, d, "versions", lambda: S.schedule_versions(S.service_fingerprints(f, S.processing_snapshots(f), timetable(spark, d))))
 
 
 def _trips(spark, d):
-    return published(spark, d, "fct_trip", lambda: X.with_executions(_fct_trip(spark, d)))
+    return published(spark, d, "fct_trip", lambda: X.with_executions(_fct_trip(spark, d)), True)
 
 
 def trip_table(spark, d):
@@ -81,7 +82,7 @@ def execution_table(spark, d):
 
 
 def _arrivals(spark, d):
-    return published(spark, d, "fct_stop_arrival", lambda: X.arrivals(_f(spark, d), _trips(spark, d), "is_served"))
+    return published(spark, d, "fct_stop_arrival", lambda: X.arrivals(_f(spark, d), _trips(spark, d), "is_served"), True)
 
 
 def arrival_table(spark, d):
@@ -93,7 +94,7 @@ def serving_table(spark, d):
 
 
 def event_table(spark, d):
-    return published(spark, d, "fct_expected_stop_event", lambda: X.expected_events(_f(spark, d), trip_table(spark, d), arrival_table(spark, d)))
+    return published(spark, d, "fct_expected_stop_event", lambda: X.expected_events(_f(spark, d), trip_table(spark, d), arrival_table(spark, d)), True)
 
 
 @query("SELECT * FROM o_trip")
