@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tramline.llm.shared import ascii_lower, checked, ranked, saved, unused
+from tramline.llm.shared import ascii_lower, checked, lean, ranked, saved, unused
 
 #: Stands for a null doc_id in keys; it is the smallest id, so such a document keeps a line only if no other has it.
 NO_ID = -(1 << 63)
@@ -95,7 +95,7 @@ def dropped_lines(docs: DataFrame, least_chars: int = 40, least_docs: int = 5) -
     lines = line_keys(docs, least_chars)
     dealt = lines.withColumn("back", -1 - F.col("doc")).repartitionByRange("h1", "h2", "back")
     dealt = dealt.sortWithinPartitions("h1", "h2", "back", "row", "pos").select("h1", "h2", "doc", "row", "pos")
-    out = saved(dealt.mapInArrow(_stream(least_docs), OUT))
+    out = saved(dealt.mapInArrow(lean(_stream(least_docs)), OUT))
     ends = out.where("kind = 2").groupBy("h1", "h2").agg(F.sum("n").alias("docs"), F.max("doc").alias("keeper")).where(F.col("docs") >= least_docs)
     late = out.where("kind = 1").join(checked(ends), ["h1", "h2"]).where("doc <> keeper")
     cols = ["doc", "row", F.col("n").alias("pos")]
@@ -117,7 +117,7 @@ def keep_bitmaps(docs: DataFrame, least_chars: int = 40, least_docs: int = 5) ->
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n, pa.int64()), pa.array(maps, pa.binary())], names=["doc", "row", "dropped", "bitmap"])
 
     per = dropped_lines(docs, least_chars, least_docs).groupBy("doc", "row").agg(F.collect_set("pos").alias("pos"))
-    return per.mapInArrow(pack, "doc long, row long, dropped long, bitmap binary")
+    return per.mapInArrow(lean(pack), "doc long, row long, dropped long, bitmap binary")
 
 
 def deduped(docs: DataFrame, least_chars: int = 40, least_docs: int = 5, counts: tuple[str, str] | None = None) -> DataFrame:
@@ -154,7 +154,7 @@ def deduped(docs: DataFrame, least_chars: int = 40, least_docs: int = 5, counts:
             yield pa.RecordBatch.from_arrays(cols, names=[*given, total, cut])
 
     schema = T.StructType([*docs.schema.fields, T.StructField(total, T.LongType()), T.StructField(cut, T.LongType())])
-    out = both.mapInArrow(kept, schema)
+    out = both.mapInArrow(lean(kept), schema)
     if number:
         out = out.drop("doc_id").withColumnRenamed(aside, "doc_id").select(*[c for c in given if c != aside], total, cut)
     return out.withColumnsRenamed({total: counts[0], cut: counts[1]}) if counts else out.drop(total, cut)

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tramline.llm.shared import checked, ranked, saved
+from tramline.llm.shared import checked, lean, ranked, saved
 
 CAPACITY = 2048
 #: Groups of equal cardinality that large lengths are rounded up to. Rounding wastes about a group's width in each
@@ -127,7 +127,7 @@ def tokens(docs: DataFrame, path: str, end: int = 0, capacity: int = CAPACITY, i
         finally:
             words.known = {}  # the process lives on for other work
 
-    return docs.select("doc_id", F.xxhash64("text").alias("row"), "text").mapInArrow(run, schema)
+    return docs.select("doc_id", F.xxhash64("text").alias("row"), "text").mapInArrow(lean(run), schema)
 
 
 class Plan:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tramline.llm.shared import Forest, components, drop_saved, saved, unused
+from tramline.llm.shared import Forest, components, drop_saved, lean, saved, unused
 
 BITS = 64
 #: Fingerprints of a tile that are compared at once.
@@ -57,7 +57,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fps, pa.int64())], names=["doc_id", "row", "fp"])
 
     keyed = docs.select("doc_id", F.xxhash64("text").alias("row"), "text")
-    return keyed.mapInArrow(run, docs.select("doc_id").schema.add("row", "long").add("fp", "long"))
+    return keyed.mapInArrow(lean(run), docs.select("doc_id").schema.add("row", "long").add("fp", "long"))
 
 
 def parts_for(n: int) -> int:
@@ -163,8 +163,8 @@ def links(fps: DataFrame, radius: int = 2, parts: int | None = None) -> DataFram
     Tiles meet by a shuffle on their counts; a task keeps one tile and a forest, never the pairs."""
     one = saved(fps.select("fp").distinct())
     m = parts or parts_for(one.count())
-    tiles = one.mapInArrow(_tiles(m, radius), "tile long, guest byte, fp long")
-    return tiles.repartition("tile").sortWithinPartitions("tile", "guest").mapInArrow(_linked(radius), "u long, v long")
+    tiles = one.mapInArrow(lean(_tiles(m, radius)), "tile long, guest byte, fp long")
+    return tiles.repartition("tile").sortWithinPartitions("tile", "guest").mapInArrow(lean(_linked(radius)), "u long, v long")
 
 
 def near_duplicates(docs: DataFrame, radius: int = 2, shingle: int = 3) -> DataFrame:
@@ -246,7 +246,7 @@ def _sketch(shingle: int, whole: bool):
 def sketches(docs: DataFrame, shingle: int, whole: bool = False) -> DataFrame:
     schema = docs.select("doc_id", "row").schema.add("set_id", "long")
     schema = schema.add("hashes", T.ArrayType(T.IntegerType())) if whole else schema.add("n", "long").add("fp", "long").add("keys", T.ArrayType(T.LongType()))
-    return docs.select("doc_id", "row", "text").mapInArrow(_sketch(shingle, whole), schema)
+    return docs.select("doc_id", "row", "text").mapInArrow(lean(_sketch(shingle, whole)), schema)
 
 
 def parities(sets, most: int) -> np.ndarray:
@@ -350,7 +350,7 @@ def _tile_groups(one: DataFrame, dealt: DataFrame, keys: DataFrame, named: DataF
     texts = named.join(needed.select("k_doc", "k_row"), (F.col("doc_id") == F.col("k_doc")) & (F.col("row") == F.col("k_row")), "left_semi")
     sets = sketches(texts, shingle, whole=True).dropDuplicates(["set_id"]).drop("doc_id", "row")
     full = tiles.join(sets, "set_id").select("key", "a", "z", "name", "side", "hashes")
-    group = components(full.repartition("key", "a", "z").sortWithinPartitions("key", "a", "z").mapInArrow(_verified(similarity), "u long, v long"))
+    group = components(full.repartition("key", "a", "z").sortWithinPartitions("key", "a", "z").mapInArrow(lean(_verified(similarity)), "u long, v long"))
     drop_saved(tiles)
     return group
 
