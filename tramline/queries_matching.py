@@ -34,9 +34,16 @@ def stop_semantics(spark, d):
     return M.stop_semantics(chain, S.stop_times(_f(spark, d)))
 
 
+def courses_table(spark, d):
+    return published(spark, d, "raw_courses", lambda: _f(spark, d)("raw_courses"))
+
+
 def _episodes(spark, d):
-    f = _f(spark, d)
-    return M.episodes(f("raw_courses"), f("raw_track"))
+    return M.episodes(courses_table(spark, d), _f(spark, d)("raw_track"))
+
+
+def _traversals(spark, d):
+    return M.course_traversals(courses_table(spark, d), _f(spark, d)("raw_track"))
 
 
 @query("SELECT * FROM o_episode")
@@ -46,22 +53,22 @@ def terminal_episodes(spark, d):
 
 @query("SELECT * FROM o_traversal")
 def traversals(spark, d):
-    return M.traversals(_episodes(spark, d))
+    return _traversals(spark, d)
 
 
 @query("SELECT * FROM o_plausible")
 def plausible_traversals(spark, d):
-    return M.plausible(M.traversals(_episodes(spark, d)))
+    return M.plausible(_traversals(spark, d))
 
 
 @query("SELECT p.vehicle_number, p.trip_id, p.origin_event_s, p.destination_event_s, EXISTS (SELECT 1 FROM o_plausible q WHERE q.vehicle_number = p.vehicle_number AND (q.trip_id <> p.trip_id OR q.origin_event_s <> p.origin_event_s) AND q.origin_event_s <= p.destination_event_s AND q.destination_event_s >= p.origin_event_s) AS is_competing FROM o_plausible p")
 def competing_ownership(spark, d):
-    t = M.plausible(M.traversals(_episodes(spark, d)))
+    t = M.plausible(_traversals(spark, d))
     return M.competing(t, "vehicle_number", "origin_event_s", "destination_event_s", ["trip_id"]).select("vehicle_number", "trip_id", "origin_event_s", "destination_event_s", "is_competing")
 
 
 def _owned(spark, d):
-    t = M.plausible(M.traversals(_episodes(spark, d))).select("vehicle_number", "trip_id", "origin_event_s", "destination_event_s")
+    t = M.plausible(_traversals(spark, d)).select("vehicle_number", "trip_id", "origin_event_s", "destination_event_s")
     return M.in_intervals(_f(spark, d)("raw_track"), t, "vehicle_number", "origin_event_s", "destination_event_s")
 
 
