@@ -51,7 +51,7 @@ PARTS |= {
 
 def timetable(spark, d):
     """A row for each trip: days multiply it where it's read, not where it's stored."""
-    return published(spark, d, "timetables", lambda: S.timetables(_f(spark, d)).drop("stops", "ordered_stop_ids", "ordered_arrivals"), True)
+    return published(spark, d, "timetables", lambda: S.timetables(_f(spark, d)).drop("stops", "ordered_arrivals"), True)
 
 
 def history(spark, d):
@@ -59,9 +59,10 @@ def history(spark, d):
     return S.trip_schedule(f, S.processing_snapshots(f), False, timetable(spark, d))
 
 
-def _fct_trip(spark, d):
-    f = _f(spark, d)
-    return X.trips(f, timetable(spark, d), S.processing_snapshots(f), versions(spark, d))
+def _fct_trip(spark, d, ranked=False):
+    f, timed = _f(spark, d), timetable(spark, d)
+    governed = S.processing_snapshots(f)
+    return X.trips(f, timed, governed, versions(spark, d), S.ranked_days(f, governed, timed) if ranked else None)
 
 
 def versions(spark, d):
@@ -69,8 +70,12 @@ def versions(spark, d):
     return published(spark, d, "versions", lambda: S.schedule_versions(S.service_fingerprints(f, S.processing_snapshots(f), timetable(spark, d))))
 
 
+def _flagged_trips(spark, d):
+    return published(spark, d, "fct_trip", lambda: X.with_executions(_fct_trip(spark, d, True)), True)
+
+
 def _trips(spark, d):
-    return published(spark, d, "fct_trip", lambda: X.with_executions(_fct_trip(spark, d)), True)
+    return _flagged_trips(spark, d).drop("is_ranked")
 
 
 def trip_table(spark, d):
@@ -82,17 +87,22 @@ def execution_table(spark, d):
 
 
 def _arrivals(spark, d):
-    return published(spark, d, "fct_stop_arrival", lambda: X.arrivals(_f(spark, d), _trips(spark, d), "is_served"), True)
+    return published(spark, d, "fct_stop_arrival", lambda: X.arrivals(_f(spark, d), _flagged_trips(spark, d), "is_served", "is_ranked"), True)
 
 
 def arrival_table(spark, d):
-    return _arrivals(spark, d).drop("is_served")
+    return _arrivals(spark, d).drop("is_served", "is_ranked")
 
 
-def serving_table(spark, d):
+def flagged_serving(spark, d):
+    """serving_table(), and whether an arrival's trip is of the ranking universe."""
     return _arrivals(spark, d).where("is_served").drop("is_served")
 
 
+def serving_table(spark, d):
+    return flagged_serving(spark, d).drop("is_ranked")
+
+
 def event_table(spark, d):
     return published(spark, d, "fct_expected_stop_event", lambda: X.expected_events(_f(spark, d), trip_table(spark, d), arrival_table(spark, d)), True)
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tramline.plans import gps as G
 from tramline.plans import marts as M
 from tramline.plans import schedule as S
-from tramline.queries_facts import NOW, X, _history, arrival_table, event_table, execution_table, history, serving_table, trip_table, versions
+from tramline.queries_facts import NOW, X, _history, arrival_table, event_table, execution_table, flagged_serving, history, serving_table, trip_table, versions
 from tramline.queries_schedule import _f, local, start_of
 from tramline.registry import PARTS, query
 from tramline.sources.published import published
@@ -146,12 +146,13 @@ def universe_table(spark, d):
 
 
 def entity_table(spark, d):
-    return published(spark, d, "entity_windows", lambda: M.entity_windows(_base(spark, d), universe_table(spark, d)))
+    windows = lambda: published(spark, d, "window_dates", lambda: _windows(spark, d))
+    return published(spark, d, "entity_windows", lambda: M.entity_windows(flagged_serving(spark, d), windows(), versions(spark, d), until()))
 
 
 @query("SELECT * FROM o_entity")
 def entity_window_summary(spark, d):
-    return M.entity_windows(_base(spark, d), universe_table(spark, d)).withColumn("delay_histogram", told("delay_histogram"))
+    return entity_table(spark, d).withColumn("delay_histogram", told("delay_histogram"))
 
 
 def _slice(kind: str):
