@@ -114,8 +114,11 @@ def date_navigation(spark, d):
 
 @query("SELECT window_type FROM (SELECT DISTINCT window_type, 'windows' AS t FROM o_windows UNION SELECT DISTINCT window_type, 'summaries' FROM o_entity UNION SELECT DISTINCT window_type, 'daily' FROM v_entity_window_daily) x GROUP BY 1 HAVING count(DISTINCT t) = 3")
 def window_availability(spark, d):
-    """Windows that all three tables hold."""
-    tables = {"windows": _windows(spark, d), "summaries": entity_table(spark, d), "daily": M.daily_in_windows(_base(spark, d))}
+    """Windows that all three tables hold. Days within windows have a row for the mode of each arrival, so the dates and
+    versions of arrivals tell their windows."""
+    dated = M.window_arrivals(serving_table(spark, d)).select("service_date", "schedule_version_id", "mode").distinct()
+    daily = M.fanned(M.in_windows(dated, *_versions_windows(spark, d)), {"mode": "mode"})
+    tables = {"windows": _windows(spark, d), "summaries": entity_table(spark, d), "daily": daily}
     held = [t.select("window_type", F.lit(n).alias("t")).distinct() for n, t in tables.items()]
     return held[0].unionByName(held[1]).unionByName(held[2]).groupBy("window_type").agg(F.countDistinct("t").alias("n")).where("n = 3").select("window_type")
 
