@@ -151,6 +151,8 @@ def duty_settlement(spark, d):
     """Statuses of one day's courses. Choosing chains isn't told in SQL; tests hold it against all chains."""
     from tramline.plans import duties as D
 
-    e = published(spark, d, "terminal_episodes", lambda: _episodes(spark, d))
-    courses = _f(spark, d)("raw_courses").withColumn("settled", F.col("n") % 29 != 0)
-    return D.settled_duties(courses, D.evidence(e, M.traversals(e)))
+    keep = lambda name, df: published(spark, d, name, lambda: df)
+    courses, track = courses_table(spark, d), _f(spark, d)("raw_track")
+    found = keep("place_traversals", M.place_traversals(courses, track))
+    e = D.evidence(courses, track, M.course_traversals(courses, track, found))
+    return D.settled_duties(courses.withColumn("settled", F.col("n") % 29 != 0), e, keep)
